@@ -146,7 +146,7 @@ def chunks(column, limit: int = 1 << 20) -> Iterator[tuple[int, int, Bytes]]:
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(column):
-        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, side="right")) - 1)
+        hi = min(lo + (1 << 15), max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, side="right")) - 1))
         yield lo, hi, Bytes(data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo])
         lo = hi
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import byte_bpe, quality_rules, toxicity
+from tickframe.llm import byte_bpe, jaccard_join, quality_rules, toxicity
 
 
 def rank_file() -> str:
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), rank_file())
 
@@ -32,6 +36,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,

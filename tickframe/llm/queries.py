@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import byte_bpe, jaccard_join, quality_rules, toxicity
+from tickframe.llm import byte_bpe, decontaminate, jaccard_join, quality_rules, toxicity
 
 
 def rank_file() -> str:
@@ -27,6 +27,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), rank_file())
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_text_hash")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_winnowing": op8_winnowing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import byte_bpe, decontaminate, jaccard_join, quality_rules, toxicity
+from tickframe.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_rules, toxicity
 
 
 def rank_file() -> str:
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(table(spark, sf_dir, "documents"))
 
@@ -39,11 +43,37 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+OP4_SQL = """
+WITH lines AS (
+    SELECT doc_id, text, generate_subscripts(l, 1) AS pos, unnest(l) AS line
+    FROM (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents)),
+full_lines AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM lines WHERE trim(line) <> ''),
+windows AS (
+    SELECT doc_id, k, line || chr(10) || lead(line, 1) OVER w || chr(10) || lead(line, 2) OVER w AS body
+    FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+later AS (
+    SELECT doc_id, k FROM (
+        SELECT doc_id, k, row_number() OVER (PARTITION BY body ORDER BY doc_id, k) AS n FROM windows WHERE body IS NOT NULL)
+    WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, k + j AS k FROM later, (SELECT unnest([0, 1, 2]) AS j)),
+kept AS (
+    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text
+    FROM lines l LEFT JOIN full_lines f ON l.doc_id = f.doc_id AND l.pos = f.pos
+    LEFT JOIN gone g ON f.doc_id = g.doc_id AND f.k = g.k
+    WHERE g.k IS NULL GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text,
+       coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n.n, 0)::BIGINT AS n_removed
+FROM documents d LEFT JOIN kept t USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) n USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_windows": op4_line_windows,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_winnowing": op8_winnowing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_line_windows": OP4_SQL}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickframe.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, quality_rules, toxicity
+from tickframe.llm import byte_bpe, chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, secret_scan, toxicity
 
 
 def rank_file() -> str:
@@ -19,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
@@ -27,6 +32,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations, and conversation -7, whose texts imitate control strings."""
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    fake = spark.createDataFrame([(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))], rows.schema)
+    return chat_format.digests(rows.unionByName(fake))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), rank_file())
 
@@ -69,8 +81,10 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) n USING (doc_
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scan": op3_secret_scan,
     "op4_line_windows": op4_line_windows,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_chat_windows": op6_chat_windows,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_winnowing": op8_winnowing,
     "op9_toxicity": op9_toxicity,

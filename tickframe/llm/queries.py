@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import byte_bpe, chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, secret_scan, toxicity
+from tickframe.llm import byte_bpe, chat_format, decontaminate, html_extract, jaccard_join, line_dedup, quality_rules, secret_scan, toxicity, warc
 
 
 def rank_file() -> str:
@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -81,6 +89,8 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) n USING (doc_
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_html_extract": op2_html_extract,
     "op3_secret_scan": op3_secret_scan,
     "op4_line_windows": op4_line_windows,
     "op5_jaccard_join": op5_jaccard_join,

@@ -83,6 +83,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items_sha256", F.sha2(F.lit(b""), 256)).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), "_text_hash")
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5) -> DataFrame:
+    """The rows without a window of the benchmark, with all their columns."""
+    split = docs.select("doc_id", F.xxhash64(full_text()).alias("_text_hash"), words(full_text()).alias("words"))
+    items = benchmark.select("item_id", words(full_text()).alias("words"))
+    found = stored(hits(split, items, ["doc_id", "_text_hash"], window, gram).select(F.col("doc_id").alias("_d"), F.col("_text_hash").alias("_h")).distinct(), "hits")
+    return docs.join(found.hint("merge"), docs["doc_id"].eqNullSafe(found["_d"]) & (F.xxhash64(full_text()) == found["_h"]), "left_anti")
+
+
 def _same(left: DataFrame, right: DataFrame, key: list[str], how: str = "inner") -> DataFrame:
     """A join on keys that may be null."""
     r = right.select(*(F.col(c).alias(f"_r_{c}") if c in key else F.col(c) for c in right.columns))

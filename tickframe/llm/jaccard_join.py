@@ -119,49 +119,57 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[np.ndarray, np.nda
     return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, anchors array<long>, prefix binary")
 
 
-def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int, most: int = 2048) -> DataFrame:
     """Those of the distinct pairs (a, b) whose sets are similar enough, compared exactly.
 
-    The texts of a travel to b's; a b with many partners is dealt to several tasks, each of which gets b's text.
+    Pairs meet where the smallest neighbours of their two sides lie, so a family of texts travels once and not with each
+    pair. A place with more than ``most`` pairs is cut into a grid by both sides.
     """
     pairs = stored(pairs, "pairs")
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    texts = stored(rows.join(ids, "doc_id", "left_semi"), "texts")
-    many = stored(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / 128).alias("parts")).where("parts > 1").withColumnRenamed("b", "many_b"), "many")
-    dealt = pairs.join(many, F.col("b") == F.col("many_b"), "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0)).alias("part"))
+    least = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(least.select(F.col("a").alias("x"), F.least("a", "m").alias("m")), "least")
+    side = lambda c: least.select(F.col("x").alias(f"x{c}"), F.col("m").alias(f"m{c}"))
+    placed = pairs.join(side("a"), F.col("a") == F.col("xa")).join(side("b"), F.col("b") == F.col("xb")).select("a", "b", F.least("ma", "mb").alias("place"))
+    placed = stored(placed, "placed")
+    large = placed.groupBy("place").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / most)).alias("grid")).where("grid > 1").withColumnRenamed("place", "p")
+    cell = lambda c: F.coalesce(F.pmod(F.xxhash64(c), F.col("grid")), F.lit(0))
+    dealt = placed.join(stored(large, "large"), F.col("place") == F.col("p"), "left").select("a", "b", "place", cell("a").alias("i"), cell("b").alias("j"))
     dealt = stored(dealt, "dealt")
-    sent = dealt.join(texts, F.col("a") == F.col("doc_id")).select("b", "part", "a", "text")
-    centres = dealt.select("b", "part").distinct().join(texts, F.col("b") == F.col("doc_id")).select("b", "part", F.lit(None).cast("long").alias("a"), "text")
+    wanted = dealt.select("place", "i", "j", F.explode(F.array("a", "b")).alias("w")).distinct()
+    texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("w")).select("place", "i", "j", F.col("w").alias("a"), F.lit(None).cast("long").alias("b"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, centre = None, []
+        at, sets = None, {}
         for batch in batches:
-            a, b, part = (batch.column(i).to_pylist() for i in range(3))
+            place = list(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True))
+            a, b = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             found = []
-            for lo, hi, data in chunks(batch.column(3)):
+            for lo, hi, data in chunks(batch.column(5)):
                 h, first = shingle_sets(data, k)
-                for i in range(lo, hi):
-                    own = h[first[i - lo] : first[i - lo + 1]]
-                    if a[i] is None:
-                        if at != (b[i], part[i]):
-                            at, centre = (b[i], part[i]), []
-                        centre.append(own)
-                        continue
-                    for other in centre:
-                        if percent * max(len(own), len(other)) > 100 * min(len(own), len(other)):
-                            continue
-                        place = np.minimum(np.searchsorted(other, own), len(other) - 1)
-                        both = int((other[place] == own).sum())
-                        if 100 * both >= percent * (len(own) + len(other) - both):
-                            found.append((a[i], b[i]))
+                for r in range(lo, hi):
+                    if place[r] != at:
+                        at, sets = place[r], {}
+                    if b[r] is None:
+                        sets.setdefault(a[r], []).append(h[first[r - lo] : first[r - lo + 1]].copy())
+                    elif any(alike(x, y, percent) for x in sets.get(a[r], ()) for y in sets.get(b[r], ())):
+                        found.append((a[r], b[r]))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    joined = sent.unionByName(centres).repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first()).select("a", "b", "part", "text")
-    out = stored(joined.mapInArrow(run, "a long, b long").distinct(), "links")
-    dropped(pairs, ids, texts, many, dealt)
+    every = texts.unionByName(dealt.withColumn("text", F.lit("")))
+    met = every.repartition("place", "i", "j").sortWithinPartitions("place", "i", "j", F.col("b").asc_nulls_first()).select("place", "i", "j", "a", "b", "text")
+    out = stored(met.mapInArrow(run, "a long, b long").distinct(), "links")
+    dropped(pairs, least, placed, dealt)
     return out
 
 
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets, as sorted arrays, reach the similarity."""
+    if not len(x) or not len(y) or percent * max(len(x), len(y)) > 100 * min(len(x), len(y)):
+        return False
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 _ENTRY = [("token", np.uint32), ("node", np.int64), ("group", np.int64), ("n", np.uint32), ("at", np.uint32)]
 
 
@@ -203,10 +211,12 @@ def list_pairs(token: np.ndarray, node: np.ndarray, group: np.ndarray, n: np.nda
             yield passing(lo + small, lo + np.maximum(span, x))
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """classes (node, group, n, prefix) -> distinct pairs (a < b) of different groups that share a prefix shingle and may be similar."""
+def candidates(classes: DataFrame, percent: int, total: int) -> DataFrame:
+    """classes (node, group, n, prefix) -> distinct pairs (a < b) of different groups that share a prefix shingle and may be similar.
+
+    total: prefix entries of all classes, which sets the number of buckets.
+    """
     spark = classes.sparkSession
-    total = classes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
     bits = max(8, int(total / (1 << 17)).bit_length())
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,15 +299,18 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), full_text(text).alias("text"))
     sets = stored(_sets(rows, k, percent, heavy_shingles(rows, k, heavy)), "sets")
     copies = stored(sets.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
-    own = sets.join(copies.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("node"))).dropDuplicates(["node", "digest"])
-    own = stored(own.select("node", F.col("n_shingles").alias("n"), "anchors", "prefix"), "own")
+    mine = (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("node"))
+    first = copies.select(F.col("digest").alias("d"), "node")
+    own = stored(sets.select("doc_id", "digest", "n_shingles", "anchors").join(first.hint("merge"), mine).select("node", "d", F.col("n_shingles").alias("n"), "anchors").distinct(), "own")
     anchors = own.select("node", F.posexplode("anchors").alias("j", "anchor"))
     least = stored(anchors.groupBy("j", "anchor").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "anchors")
-    stars = anchors.join(least, ["j", "anchor"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    stars = anchors.join(least.hint("merge"), ["j", "anchor"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     near = linked(stars, rows, k, percent)
     groups = components(near)
-    grouped = own.join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left").select("node", F.coalesce("component", "node").alias("group"), "n", "prefix")
-    more = linked(candidates(stored(grouped, "grouped"), percent), rows, k, percent)
+    grouped = own.join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left").select("node", "d", F.coalesce("component", "node").alias("group"), "n")
+    total = own.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
+    prefixes = sets.select("doc_id", "digest", "prefix").join(grouped.hint("merge"), mine).dropDuplicates(["node", "d"])
+    more = linked(candidates(prefixes, percent, int(total)), rows, k, percent)
     named = lambda side: groups.select(F.col("node").alias(f"{side}_"), F.col("component").alias(f"{side}_group"))
     across = more.join(named("a"), F.col("a") == F.col("a_"), "left").join(named("b"), F.col("b") == F.col("b_"), "left")
     wider = components(across.select(F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b")))

@@ -4,8 +4,9 @@
 2. Classes that share a min-hash anchor are compared with the smallest class of that anchor only. A set found highly
    similar there takes that set's answers over: both belong to one group, and no comparison inside a group is made again.
 3. What is left goes through an inverted index of prefixes. Its lists are kept in order of set size and position, and
-   blocks that cannot reach the needed overlap, or lie in one group, are skipped. Every pair of different groups that
-   passes is compared exactly.
+   blocks that cannot reach the needed overlap, or lie in one group, are skipped.
+4. Pairs from 2 and 3 are held against bitmaps of their sets first: bits in which two bitmaps differ are never more than
+   the shingles in which the sets differ, so what fails here fails for sure. The rest is compared exactly, by text.
 
 Any order of shingles gives right prefixes; here the most frequent of the corpus come last. That list has at most
 ``heavy`` entries, which bounds its broadcast, and only orders: it drops nothing.
@@ -84,8 +85,39 @@ def heavy_shingles(rows: DataFrame, k: int, heavy: int) -> tuple[np.ndarray, np.
     return h[order], top.n.to_numpy(np.int64)[order]
 
 
+def bitmap(h: np.ndarray) -> bytes:
+    """The parity of hashes in each of 2 to 4 times as many places (a power of two)."""
+    bits = 1 << max(6, int(2 * len(h) - 1).bit_length())
+    return np.packbits(np.bincount((h & U64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def plausible(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """Pairs that their bitmaps don't rule out."""
+    side = lambda c: own.select(F.col("node").alias(f"_{c}"), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")).hint("merge")
+    both = pairs.join(side("a"), F.col("a") == F.col("_a")).join(side("b"), F.col("b") == F.col("_b")).select("a", "b", "na", "nb", "bitsa", "bitsb")
+
+    def may(na: int, nb: int, x: bytes, y: bytes) -> bool:
+        if percent * max(na, nb) > 100 * min(na, nb):
+            return False
+        p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        while len(p) > len(q):
+            p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+        while len(q) > len(p):
+            q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+        apart = int(np.bitwise_count(p ^ q).sum())  # at most the size of the symmetric difference
+        return (100 + percent) * apart <= (100 - percent) * (na + nb)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [may(*x) for x in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            kept = batch.filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
 def _sets(rows: DataFrame, k: int, percent: int, often: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, set size, digest of the set, min-hash anchors, and the prefix in corpus order."""
+    """doc_id, set size, digest of the set, min-hash anchors, bitmap, and the prefix in corpus order."""
     sent = rows.sparkSession.sparkContext.broadcast(often)
     salts = mix(np.arange(1, ANCHORS + 1, dtype=U64))
 
@@ -96,9 +128,10 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[np.ndarray, np.nda
                 h, first = shingle_sets(b, k)
                 n = np.diff(first)
                 full = np.flatnonzero(n)
-                digest = [None] * (hi - lo)
+                digest, bits = [None] * (hi - lo), [b""] * (hi - lo)
                 for i in full:
-                    digest[i] = hashlib.blake2b(h[first[i] : first[i + 1]].tobytes(), digest_size=16).digest()
+                    own = h[first[i] : first[i + 1]]
+                    digest[i], bits[i] = hashlib.blake2b(own.tobytes(), digest_size=16).digest(), bitmap(own)
                 anchors = np.zeros((hi - lo, ANCHORS), np.int64)
                 for j, salt in enumerate(salts):
                     if len(full):
@@ -112,11 +145,11 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[np.ndarray, np.nda
                 prefix = [ordered[x : x + m].tobytes() for x, m in zip(first[:-1].tolist(), np.where(n > 0, n - needed(n, percent) + 1, 0).tolist(), strict=True)]
                 flat = pa.array(anchors.reshape(-1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, (hi - lo + 1) * ANCHORS, ANCHORS, dtype=np.int32)), flat), pa.array(prefix, pa.binary())],
-                    ["doc_id", "n_shingles", "digest", "anchors", "prefix"],
+                    [batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, (hi - lo + 1) * ANCHORS, ANCHORS, dtype=np.int32)), flat), pa.array(bits, pa.binary()), pa.array(prefix, pa.binary())],
+                    ["doc_id", "n_shingles", "digest", "anchors", "bits", "prefix"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, anchors array<long>, prefix binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, anchors array<long>, bits binary, prefix binary")
 
 
 def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int, most: int = 2048) -> DataFrame:
@@ -301,16 +334,16 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     copies = stored(sets.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     mine = (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("node"))
     first = copies.select(F.col("digest").alias("d"), "node")
-    own = stored(sets.select("doc_id", "digest", "n_shingles", "anchors").join(first.hint("merge"), mine).select("node", "d", F.col("n_shingles").alias("n"), "anchors").distinct(), "own")
+    own = stored(sets.select("doc_id", "digest", "n_shingles", "anchors", "bits").join(first.hint("merge"), mine).select("node", "d", F.col("n_shingles").alias("n"), "anchors", "bits").dropDuplicates(["node", "d"]), "own")
     anchors = own.select("node", F.posexplode("anchors").alias("j", "anchor"))
     least = stored(anchors.groupBy("j", "anchor").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "anchors")
     stars = anchors.join(least.hint("merge"), ["j", "anchor"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    near = linked(stars, rows, k, percent)
+    near = linked(plausible(stars, own, percent), rows, k, percent)
     groups = components(near)
     grouped = own.join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left").select("node", "d", F.coalesce("component", "node").alias("group"), "n")
     total = own.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
     prefixes = sets.select("doc_id", "digest", "prefix").join(grouped.hint("merge"), mine).dropDuplicates(["node", "d"])
-    more = linked(candidates(prefixes, percent, int(total)), rows, k, percent)
+    more = linked(plausible(candidates(prefixes, percent, int(total)), own, percent), rows, k, percent)
     named = lambda side: groups.select(F.col("node").alias(f"{side}_"), F.col("component").alias(f"{side}_group"))
     across = more.join(named("a"), F.col("a") == F.col("a_"), "left").join(named("b"), F.col("b") == F.col("b_"), "left")
     wider = components(across.select(F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b")))

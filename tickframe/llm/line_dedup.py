@@ -17,24 +17,26 @@ from tickframe.llm.common import stored
 
 
 def _line_windows(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """doc, text hash, start (among lines that aren't blank), digest of the window's lines."""
-    lines = F.filter(F.split(F.col(text), "\n"), lambda x: F.trim(x) != "")
+    """doc, text hash, start (among lines that aren't blank), places of the window's lines in the text, digest of the lines."""
+    placed = F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
+    lines = F.filter(placed, lambda x: F.trim(x["line"]) != "")
     rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_hash"), lines.alias("_lines"))
     starts = F.when(F.size("_lines") >= size, F.sequence(F.lit(0), F.size("_lines") - size)).otherwise(F.array().cast("array<int>"))
     at = rows.select("_doc", "_hash", "_lines", F.explode(starts).alias("_start"))
-    window = F.concat_ws("\n", *(F.get("_lines", F.col("_start") + j) for j in range(size)))
-    return at.select("_doc", "_hash", "_start", F.unhex(F.md5(window.cast("binary"))).alias("_digest"))
+    line = [F.get("_lines", F.col("_start") + j) for j in range(size)]
+    digest = F.unhex(F.md5(F.concat_ws("\n", *(x["line"] for x in line)).cast("binary")))
+    return at.select("_doc", "_hash", "_start", F.array(*(x["at"] for x in line)).alias("_at"), digest.alias("_digest"))
 
 
 def later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
-    """Per document with any: the positions, among its lines that aren't blank, which later windows cover."""
+    """Per document with any: the places of its lines that later windows cover, in order."""
     all_windows = stored(_line_windows(docs, doc_id, text, size), "windows")
     place = F.struct("_doc", "_hash", "_start")
     first = all_windows.groupBy("_digest").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
     first = stored(first.where("_first <> _last").select(F.col("_digest").alias("_d"), "_first"), "first")
     later = all_windows.join(first.hint("merge"), F.col("_digest") == F.col("_d")).where(~place.eqNullSafe(F.col("_first")))
-    spans = later.groupBy("_doc", "_hash").agg(F.collect_set("_start").alias("_starts"))
-    return spans.select("_doc", "_hash", F.array_sort(F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + size - 1))))).alias("_covered"))
+    spans = later.groupBy("_doc", "_hash").agg(F.collect_set("_at").alias("_all"))
+    return spans.select("_doc", "_hash", F.array_sort(F.array_distinct(F.flatten("_all"))).alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
@@ -42,13 +44,11 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     covered = stored(later_lines(docs, doc_id, text, size), "covered")
     keyed = docs.withColumn("_key", F.xxhash64(text))
     joined = keyed.join(covered.hint("merge"), keyed[doc_id].eqNullSafe(covered["_doc"]) & (F.col("_key") == F.col("_hash")), "left")
-    lines = F.split(F.col(text), "\n")
-    full = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i)) != "")
-    gone = F.transform("_covered", lambda j: F.get(full, j))
-    # what is kept lies between neighbouring removed lines
-    cut = joined.withColumn("_gone", gone).withColumn("_all", lines)
-    before = lambda i: F.coalesce(F.get("_gone", i - 1), F.lit(-1))
-    after = lambda i: F.coalesce(F.get("_gone", i), F.size("_all"))
-    kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_gone")), lambda i: F.slice("_all", before(i) + 2, after(i) - before(i) - 1)))
-    new = F.when(F.col("_covered").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    # what is kept lies between neighbouring removed lines; the array of lines is made once a row, ahead of the lambdas
+    once = F.explode(F.array(F.struct(F.split(F.col(text), "\n").alias("lines"), F.col("_gone").alias("gone"))))
+    cut = joined.select(*(joined[c] for c in docs.columns), "_gone", once.alias("_z")).select("*", F.col("_z.lines").alias("_all"))
+    before = lambda i: F.coalesce(F.get("_z.gone", i - 1), F.lit(-1))
+    after = lambda i: F.coalesce(F.get("_z.gone", i), F.size("_z.lines"))
+    kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size("_z.gone")), lambda i: F.slice("_z.lines", before(i) + 2, after(i) - before(i) - 1)))
+    new = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return cut.withColumns({text: new, "n_lines": F.when(F.col("_all").isNull(), 0).otherwise(F.size("_all")).cast("long"), "n_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long")}).select(*docs.columns, "n_lines", "n_removed")

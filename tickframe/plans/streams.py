@@ -73,8 +73,6 @@ def late_rows(t: Tables):
     return ok.select(F.lit(True).alias("open_day")).unionByName(late.select(F.lit(False).alias("open_day"))).groupBy("open_day").agg(F.count(F.lit(1)).alias("n"))
 
 
-_ID = F.col("event_id").cast("string")
-
 
 def bodies(t: Tables, *parts) -> DataFrame:
     return t.table("events").select("event_id", F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("snap_ts"), F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts)).alias("body"))

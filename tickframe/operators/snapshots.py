@@ -156,11 +156,16 @@ def cycles(rows: DataFrame, zone: str = "America/New_York") -> DataFrame:
     return rows.where((F.col("row_kind") == "data") & (F.to_date(local) == F.col("day"))).select("ticker", "day", F.date_format(local, "HH:mm").alias("minute")).distinct()
 
 
-def skipped(ticks: DataFrame, slots: DataFrame, key: str = "ticker") -> DataFrame:
-    """Slots strictly between two neighbouring ticks of a key (K2): slots take the last tick before them."""
+def skipped(ticks: DataFrame, slots: DataFrame, key: str = "ticker", minutes: int = 1) -> DataFrame:
+    """Slots strictly between two neighbouring ticks of a key (K2).
+
+    The minutes of each hole are spelt out and met with the calendar's slots on equality, so no tick meets them all.
+    """
+    step = F.make_dt_interval(mins=F.lit(minutes))
     w = Window.partitionBy(key).orderBy("tick")
-    pairs = ticks.select(key, "tick", F.lead("tick").over(w).alias("next")).where("next is not null")
-    return pairs.join(slots, (F.col("slot") > F.col("tick")) & (F.col("slot") < F.col("next"))).select(key, "tick", "slot")
+    holes = ticks.select(key, "tick", F.lead("tick").over(w).alias("next")).where(F.col("next") > F.col("tick") + step)
+    spelt = holes.select(key, "tick", F.explode(F.sequence(F.col("tick") + step, F.col("next") - step, step)).alias("slot"))
+    return spelt.join(slots.select("slot").distinct(), "slot", "left_semi").select(key, "tick", "slot")
 
 
 def next_session(days: DataFrame, calendar: DataFrame, guard: int = 30) -> DataFrame:

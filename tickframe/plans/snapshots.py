@@ -175,7 +175,7 @@ def owed_coverage(t: Tables):
 )
 def skipped_slots(t: Tables):
     ticks = t.slots().where("row_kind = 'data'").select("ticker", F.col("slot").alias("tick")).distinct()
-    return S.skipped(ticks, hours(t)).groupBy("ticker", text("tick").alias("tick")).agg(F.count(F.lit(1)).alias("skipped"))
+    return S.skipped(ticks, hours(t), minutes=60).groupBy("ticker", text("tick").alias("tick")).agg(F.count(F.lit(1)).alias("skipped"))
 
 
 @query("next_session", "SELECT DISTINCT o.ex_date AS day, (SELECT min(s.session) FROM (SELECT DISTINCT session FROM bars WHERE instrument_id = 7) s WHERE s.session > o.ex_date AND s.session <= o.ex_date + 30) AS next_session FROM actions o", dates="day next_session")

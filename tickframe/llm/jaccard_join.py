@@ -152,11 +152,11 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[np.ndarray, np.nda
     return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, anchors array<long>, bits binary, prefix binary")
 
 
-def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int, most: int = 2048) -> DataFrame:
+def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int, most: int = 64) -> DataFrame:
     """Those of the distinct pairs (a, b) whose sets are similar enough, compared exactly.
 
     Pairs meet where the smallest neighbours of their two sides lie, so a family of texts travels once and not with each
-    pair. A place with more than ``most`` pairs is cut into a grid by both sides.
+    pair. A place with more than ``most`` pairs is cut into a grid by both sides, ``most`` texts or so of either in a cell.
     """
     pairs = stored(pairs, "pairs")
     least = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("m"))
@@ -164,9 +164,10 @@ def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int, most: int =
     side = lambda c: least.select(F.col("x").alias(f"x{c}"), F.col("m").alias(f"m{c}"))
     placed = pairs.join(side("a"), F.col("a") == F.col("xa")).join(side("b"), F.col("b") == F.col("xb")).select("a", "b", F.least("ma", "mb").alias("place"))
     placed = stored(placed, "placed")
-    large = placed.groupBy("place").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / most)).alias("grid")).where("grid > 1").withColumnRenamed("place", "p")
-    cell = lambda c: F.coalesce(F.pmod(F.xxhash64(c), F.col("grid")), F.lit(0))
-    dealt = placed.join(stored(large, "large"), F.col("place") == F.col("p"), "left").select("a", "b", "place", cell("a").alias("i"), cell("b").alias("j"))
+    large = placed.groupBy("place").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > most).select("place")
+    sides = placed.join(large, "place", "left_semi").groupBy("place").agg(*(F.ceil(F.countDistinct(c) / most).alias(f"grid_{c}") for c in "ab")).withColumnRenamed("place", "p")
+    cell = lambda c: F.coalesce(F.pmod(F.xxhash64(c), F.col(f"grid_{c}")), F.lit(0))
+    dealt = placed.join(stored(sides, "sides"), F.col("place") == F.col("p"), "left").select("a", "b", "place", cell("a").alias("i"), cell("b").alias("j"))
     dealt = stored(dealt, "dealt")
     wanted = dealt.select("place", "i", "j", F.explode(F.array("a", "b")).alias("w")).distinct()
     texts = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("w")).select("place", "i", "j", F.col("w").alias("a"), F.lit(None).cast("long").alias("b"), "text")

@@ -351,12 +351,16 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     both = own.select("node").distinct().join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left").select("node", F.coalesce("component", "node").alias("near"))
     both = both.join(wider.withColumnRenamed("node", "w"), F.col("near") == F.col("w"), "left").select("node", F.coalesce("component", "near").alias("component_id"))
     names = stored(copies.join(both, "node", "left").select(F.col("digest").alias("d"), "component_id"), "named")
+    dropped(copies, own, least, near, groups, more, wider)
     members = sets.select("doc_id", "n_shingles", "digest").join(names, F.col("digest") == F.col("d"), "left")
-    return members.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = members.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out.read_from = (sets, names)
+    return out
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows whose doc_id is the smallest of its component, with all their columns; rows without a doc_id stay."""
     found = similar(docs, k=k, percent=percent)
     gone = stored(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    dropped(*found.read_from)
     return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone"], "left_anti")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import stored
+from tickframe.llm.common import dropped, stored
 
 
 def _line_windows(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
@@ -36,12 +36,14 @@ def later_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", siz
     first = stored(first.where("_first <> _last").select(F.col("_digest").alias("_d"), "_first"), "first")
     later = all_windows.join(first.hint("merge"), F.col("_digest") == F.col("_d")).where(~place.eqNullSafe(F.col("_first")))
     spans = later.groupBy("_doc", "_hash").agg(F.collect_set("_at").alias("_all"))
-    return spans.select("_doc", "_hash", F.array_sort(F.array_distinct(F.flatten("_all"))).alias("_gone"))
+    out = stored(spans.select("_doc", "_hash", F.array_sort(F.array_distinct(F.flatten("_all"))).alias("_gone")), "covered")
+    dropped(all_windows, first)
+    return out
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """All columns, the text without lines of later windows, and n_lines and n_removed."""
-    covered = stored(later_lines(docs, doc_id, text, size), "covered")
+    covered = later_lines(docs, doc_id, text, size)
     keyed = docs.withColumn("_key", F.xxhash64(text))
     joined = keyed.join(covered.hint("merge"), keyed[doc_id].eqNullSafe(covered["_doc"]) & (F.col("_key") == F.col("_hash")), "left")
     # what is kept lies between neighbouring removed lines; the array of lines is made once a row, ahead of the lambdas

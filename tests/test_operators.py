@@ -111,3 +111,79 @@ def test_consistency_of_scalar_adjustments(spark):
 def test_lossless_cast(spark):
     df = spark.createDataFrame([(1.0,), (2.5,), (None,)], "x double")
     assert df.agg(Q.lossless(df, "x", "bigint")).first()[0] == 1
+
+
+def test_named_queries_check_their_parameters(spark):
+    from tickframe.operators import views as V
+
+    with pytest.raises(ValueError):
+        V.NAMED["today"].run(spark, {}, ticker="x'; drop", day="2024-01-01")
+    with pytest.raises(ValueError):
+        V.NAMED["today"].run(spark, {}, ticker="SPY")
+    with pytest.raises(ValueError):
+        V.load_bars(V.Store(), adjust="other")
+
+
+def test_sealing_and_legacy_reads(spark, tmp_path):
+    from tickframe.sources import sealed
+
+    rows = spark.createDataFrame([("A", D(2024, 1, d), d) for d in (1, 1, 2)], "ticker string, date date, x long")
+    assert sealed.seal(rows, str(tmp_path / "t"), ["x", "ticker", "date"]) == 3
+    assert sealed.seal(rows.where("x = 2"), str(tmp_path / "t"), ["x", "ticker", "date"]) == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    part = tmp_path / "old/ticker=A/freq=1d"
+    part.mkdir(parents=True)
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for name in ("date=2024-01-05.parquet", "date=2024-1-6.parquet"):
+        pq.write_table(pa.table({"x": [1, 2]}), part / name)
+    got = sealed.read_legacy(spark, str(tmp_path / "old"), "x long").collect()
+    assert [(r.ticker, r.freq, r.date, r.x) for r in got] == [("A", "1d", D(2024, 1, 5), 1), ("A", "1d", D(2024, 1, 5), 2)]
+
+
+def test_unreadable_segments_are_listed(spark, tmp_path):
+    from tickframe.sources import sealed
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"x": [1, 2]}), tmp_path / "a.parquet")
+    (tmp_path / "b.parquet").write_bytes(b"not parquet")
+    (tmp_path / "c.parquet").write_bytes(b"")
+    rows, bad = sealed.read_landing(spark, str(tmp_path), "x long")
+    assert rows.count() == 2 and [r.unreadable.rsplit("/", 1)[1] for r in bad.collect()] == ["b.parquet"]
+
+
+def test_reference_tables_refuse(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tickframe.sources import sealed
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("schema_version", T.IntegerType())])
+    p = str(tmp_path / "r")
+    spark.createDataFrame([(1, 1)], schema).write.parquet(p)
+    assert sealed.read_reference(spark, p, schema, [1]).count() == 1
+    with pytest.raises(ValueError):
+        sealed.read_reference(spark, p, schema, [2])
+    with pytest.raises(ValueError):
+        sealed.read_reference(spark, p, T.StructType([T.StructField("a", T.StringType())]), [1])
+
+
+def test_a_segment_lands_once(spark, tmp_path):
+    from tickframe.streaming import live
+
+    batch = spark.createDataFrame([("s1", 1), ("s1", 2), ("s2", 3)], "segment string, x int")
+    for _ in range(2):
+        live.land_once(batch, str(tmp_path / "t"), str(tmp_path / "m"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_daily_csv_refuses_what_it_must(spark, tmp_path):
+    from tickframe.sources import sealed
+
+    f = tmp_path / "d.csv"
+    f.write_text("Price,Close,High,Low,Open,Volume\nTicker,X,X,X,X,X\nDate,,,,,\n2024-01-02,1,2,0.5,1,10\n2024-01-03,NaN,2,1,1,5\n2024-01-04,1,1,1,1,1\n2024-01-04,1,1,1,1,1\n2024-01-06,1,1,1,1,1\n")
+    cal = spark.createDataFrame([(D(2024, 1, d),) for d in (2, 3, 4, 5)], "day date")
+    ok, bad = sealed.daily_csv(spark, str(f), cal, "x")
+    assert [(r.day, str(r.bar_ts)) for r in ok.collect()] == [(D(2024, 1, 2), "2024-01-02 05:00:00")]
+    assert sorted(r.reason for r in bad.collect()) == ["not_a_session", "not_finite", "repeated_date", "repeated_date"]

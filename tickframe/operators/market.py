@@ -17,8 +17,9 @@ def occ_root(symbol: Column, option_root: Column | None = None) -> Column:
 
 
 def occ_expiry(symbol: Column) -> Column:
-    """Expiration coded in an option symbol, null where it has another shape (K7)."""
-    return F.to_date(F.when(symbol.rlike(r"^.{6}\d{6}[CP]\d{8}$"), F.try_to_timestamp(F.substring(symbol, 7, 6), F.lit("yyMMdd"))))
+    """Expiration coded in an option symbol, null where it has another shape (K7); years from 69 on are of the last century."""
+    day = F.to_date(F.when(symbol.rlike(r"^.{6}\d{6}[CP]\d{8}$"), F.try_to_timestamp(F.substring(symbol, 7, 6), F.lit("yyMMdd"))))
+    return F.when(F.year(day) > 2068, F.add_months(day, -1200)).otherwise(day)
 
 
 def resolve(rows: DataFrame, master: DataFrame, symbol: str, day: str) -> tuple[DataFrame, DataFrame]:

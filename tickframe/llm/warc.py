@@ -69,11 +69,13 @@ def write(pages: DataFrame, path: str, least: int = 0, page_id: str = "page_id",
     kind = F.when(F.col("chosen").isNull() | F.col("page_id").eqNullSafe(F.col("chosen")), F.lit("response")).otherwise(F.lit("revisit"))
     judged = judged.withColumn("kind", kind)
     refers = F.when(F.col("kind") == "revisit", F.col("chosen"))
-    judged.select("page_id", "digest", header(F.col("kind"), F.col("page_id"), F.col("url"), F.col("sha1"), F.col("size"), refers).alias("header")).write.parquet(f"{path}/records")
-    # each digest's bytes once, from one response; the join is by page, so common payloads gather nowhere
-    keep = judged.where("kind = 'response'").groupBy("digest").agg(F.max("page_id").alias("p")).select(F.col("digest").alias("k"), "p")
-    chosen = rows.join(keep.hint("merge"), F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("k")), "left_semi")
-    chosen.dropDuplicates(["page_id", "digest"]).select("digest", "payload").write.parquet(f"{path}/payloads")
+    judged.select("page_id", "digest", header(F.col("kind"), F.col("page_id"), F.col("url"), F.col("sha1"), F.col("size"), refers).alias("header")).write.option("compression", "zstd").parquet(f"{path}/records")
+    # each digest's bytes once, from one response; the join is by page, so common payloads gather nowhere, and its key is
+    # never null, so that what drops ties finds the rows dealt as it needs them
+    pk = F.coalesce("page_id", F.lit(-(1 << 63))).alias("pk")
+    keep = judged.where("kind = 'response'").select(pk, "digest").groupBy("digest").agg(F.max("pk").alias("pk"))
+    chosen = rows.select(pk, "digest", "payload").join(keep.hint("merge"), ["pk", "digest"], "left_semi")
+    chosen.dropDuplicates(["pk", "digest"]).select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -67,6 +67,16 @@ def dead_man(t: Tables):
     return V.freshness(pings, 600).select("key", "starved")
 
 
+@query(
+    "folded_pages",
+    """WITH g AS (SELECT slot, error_class AS cause, string_agg(DISTINCT ticker, ',' ORDER BY ticker) AS keys, count(DISTINCT ticker) AS c FROM slots WHERE row_kind = 'gap' GROUP BY 1, 2)
+       SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS at, cause, keys, CASE WHEN c = (SELECT count(DISTINCT ticker) FROM slots) THEN 'all' ELSE 'some' END AS scope FROM g""",
+)
+def folded_pages(t: Tables):
+    pages = t.slots().where("row_kind = 'gap'").select("ticker", F.col("snap_ts").alias("at"), F.col("error_class").alias("cause"))
+    return V.fold_pages(pages, t.spans(), 60).withColumns({"at": text("at"), "keys": F.array_join("keys", ",")})
+
+
 @query("late_rows", "SELECT day > DATE '2024-01-20' AS open_day, count(*) AS n FROM slots GROUP BY 1")
 def late_rows(t: Tables):
     ok, late = V.split_late(t.slots(), "2024-01-20")

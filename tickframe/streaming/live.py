@@ -105,3 +105,13 @@ def missed_minutes(batch: DataFrame, owed: DataFrame, through: str) -> DataFrame
     """Gap rows for owed slots up to a watermark that the rows so far don't have (ST3), for foreachBatch over all rows landed."""
     due = owed.where(F.col("slot") <= F.lit(through).cast("timestamp"))
     return due.join(batch.select("ticker", "slot").distinct(), ["ticker", "slot"], "left_anti").withColumn("row_kind", F.lit("gap"))
+
+
+def fold_pages(pages: DataFrame, roster: DataFrame, minutes: int = 1, key: str = "ticker") -> DataFrame:
+    """Pages of one cause in one stretch of time as one page (ST2): scope is `all` when every key of the roster has it.
+
+    pages: key, at, cause. On a stream it is the second grouping, under a watermark on at.
+    """
+    n = roster.select(key).distinct().agg(F.count(F.lit(1)).alias("_n"))
+    g = pages.groupBy(F.window("at", f"{minutes} minutes").alias("w"), "cause").agg(F.array_sort(F.collect_set(key)).alias("keys"))
+    return g.join(F.broadcast(n)).select(F.col("w.start").alias("at"), "cause", "keys", F.when(F.size("keys") == F.col("_n"), "all").otherwise("some").alias("scope"))

@@ -83,7 +83,7 @@ def boundaries(cp: np.ndarray, doc_start: np.ndarray) -> np.ndarray:
 class Encoder:
     """Pair merging by rank over bytes, with a cache of slices."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 1 << 20):
+    def __init__(self, ranks: dict[bytes, int], most: int = 1 << 18):
         self.ranks, self.most = ranks, most
         self.cache: dict[bytes, np.ndarray] = {}
         self.words = [b""] * (max(ranks.values(), default=-1) + 1)

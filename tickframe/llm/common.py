@@ -132,7 +132,7 @@ class Bytes:
         return mix((self._sums[e] - self._sums[s]) * back[s] + (e - s).astype(U64))
 
 
-def chunks(column, limit: int = 1 << 20) -> Iterator[tuple[int, int, Bytes]]:
+def chunks(column, limit: int = 1 << 19) -> Iterator[tuple[int, int, Bytes]]:
     """Slices of an Arrow string column of about ``limit`` bytes (a longer text is a slice of its own): first row, end row, bytes."""
     import pyarrow as pa
 

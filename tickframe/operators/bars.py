@@ -29,12 +29,13 @@ def cents(c: Column) -> Column:
 def factors(sessions: DataFrame, events: DataFrame, value: Column | str, key: str = "instrument_id", day: str = "session", ex: str = "ex_date") -> DataFrame:
     """key, day and the product of value over events strictly after the day (C15), for days with any.
 
-    Events are few for an instrument but not bounded, so nothing is broadcast by force: distinct (key, day) meet events
-    on the key and the products are summed up map-side; a product of no rows isn't there and counts as 1.
+    A key's events are a short history, so they meet its days as one array and no row is made for each pair of the two.
     """
-    e = events.select(F.col(key).alias("_k"), F.col(ex).alias("_x"), (F.col(value) if isinstance(value, str) else value).alias("_v"))
-    met = sessions.select(key, day).distinct().join(e, (F.col(key) == F.col("_k")) & (F.col("_x") > F.col(day)))
-    return met.groupBy(key, day).agg(F.product("_v").alias("factor"))
+    e = events.select(F.col(key).alias("_k"), F.struct(F.col(ex).alias("x"), (F.col(value) if isinstance(value, str) else value).alias("v")).alias("_e"))
+    history = e.groupBy("_k").agg(F.collect_list("_e").alias("_h"))
+    met = sessions.select(key, day).distinct().join(history, F.col(key) == F.col("_k"))
+    later = met.select(key, day, F.filter("_h", lambda e: e["x"] > F.col(day)).alias("_l")).where(F.size("_l") > 0)
+    return later.select(key, day, F.aggregate("_l", F.lit(1.0), lambda acc, e: acc * F.coalesce(e["v"], F.lit(1.0))).alias("factor"))
 
 
 def split_adjusted(bars: DataFrame, splits: DataFrame, key: str = "instrument_id", day: str = "session") -> DataFrame:

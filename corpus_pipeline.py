@@ -3,6 +3,8 @@
 Every stage works on all rows that the one before it kept; run() writes each result as Parquet and reads it again. The
 first four return the columns of documents (n_chars follows the text), the last adds the token ids. No SQL can express
 the first stage, so ORACLE_SQL is None; tests hold the pipeline against brute force.
+
+A document whose lines are all later copies stays as a row with an empty text, which no later stage removes.
 """
 
 from __future__ import annotations

@@ -5,6 +5,7 @@ Tables that cut lineage go to the folder in ``spark.checkpoint.dir``, which driv
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -28,11 +29,14 @@ def ready(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder; a temporary one only where the session names none (single-machine tests)."""
+    """The folder that driver and executors share, as the session names it. Only a local session, whose threads share the
+    machine, gets a temporary one if it names none; on a cluster the setting is asked for."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = os.environ.get("TICKFRAME_SCRATCH") or tempfile.mkdtemp(prefix="spark-")
-        os.environ["TICKFRAME_SCRATCH"] = base
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
@@ -92,8 +96,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+_STRONG: dict[bytes, int] = {}
+
+
 class Bytes:
-    """Some documents' UTF-8 bytes end to end; hashes of any span by differences of one running sum."""
+    """Some documents' UTF-8 bytes end to end; hashes of any span by differences of one running sum.
+
+    These hashes only sort spans into groups; ``distinct`` holds every span's bytes against its group's first.
+    """
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray):
         self.buf, self.offsets = buf, offsets
@@ -132,6 +142,45 @@ class Bytes:
         return mix((self._sums[e] - self._sums[s]) * back[s] + (e - s).astype(U64))
 
 
+    def distinct(self, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One span of each different content, and for every span the number of its content. Equal means equal bytes."""
+        _, where, which = np.unique(self.hashes(s, e), return_index=True, return_inverse=True)
+        if not len(s):
+            return where, which
+        n, first = e - s, where[which]
+        odd = n != n[first]
+        at = np.arange(n.sum()) + np.repeat(s - (np.cumsum(n) - n), n)
+        apart = self.buf[at] != self.buf[at + np.repeat(np.where(odd, 0, s[first] - s), n)]
+        if apart.any():
+            odd[np.repeat(np.arange(len(s)), n)[apart]] = True
+        if odd.any():  # equal hashes of different bytes
+            data, more, new = self.buf.tobytes(), {}, []
+            for i in np.flatnonzero(odd).tolist():
+                key = data[s[i] : e[i]]
+                if key not in more:
+                    more[key] = len(where) + len(new)
+                    new.append(i)
+                which[i] = more[key]
+            where = np.append(where, new)
+        return where, which
+
+    def strong(self, s: np.ndarray, e: np.ndarray, most: int = 1 << 18) -> np.ndarray:
+        """64 bits of BLAKE2b of each span; computed once for each different content, and kept for later ones."""
+        where, which = self.distinct(s, e)
+        data, out = self.buf.tobytes(), []
+        if len(_STRONG) > most:  # bounded memory
+            _STRONG.clear()
+        for x, y in zip(s[where].tolist(), e[where].tolist(), strict=True):
+            key = data[x:y]
+            got = _STRONG.get(key)
+            if got is None:
+                got = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little")
+                if y - x <= 64:
+                    _STRONG[key] = got
+            out.append(got)
+        return np.array(out, U64)[which] if out else np.zeros(0, U64)
+
+
 def chunks(column, limit: int = 1 << 19) -> Iterator[tuple[int, int, Bytes]]:
     """Slices of an Arrow string column of about ``limit`` bytes (a longer text is a slice of its own): first row, end row, bytes."""
     import pyarrow as pa

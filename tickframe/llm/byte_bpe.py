@@ -2,7 +2,8 @@
 
 Pre-tokens are found without a regular expression: every code point gets a class from a table, and the running maximum
 (an associative scan of "keep" and "set" functions) tells each position where its run of one class began. Boundaries
-follow from the runs. Each different slice of a chunk is merged once and kept in a per-process cache.
+follow from the runs. Each different slice of a chunk (told apart by its bytes) is merged once and kept in a per-process
+cache. Every id keeps its byte offset; decoding writes each id's bytes at its offset, all ids of a chunk at once.
 
 Edges: null and empty texts have no tokens; characters outside the vocabulary's merges fall back to bytes; equal rows
 get equal results; other columns are ignored.
@@ -89,6 +90,9 @@ class Encoder:
         self.words = [b""] * (max(ranks.values(), default=-1) + 1)
         for w, r in ranks.items():
             self.words[r] = w
+        self.sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        self.bytes = np.frombuffer(b"".join(self.words), np.uint8)
+        self.first = np.cumsum(self.sizes) - self.sizes
 
     def merge(self, piece: bytes) -> np.ndarray:
         got = self.cache.get(piece)
@@ -148,7 +152,7 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(docs + 1, np.int64), np.zeros(0, np.int64)
         s = lead[s]
         e = np.append(s[1:], len(data))
-        _, where, which = np.unique(b.hashes(s, e), return_index=True, return_inverse=True)
+        where, which = b.distinct(s, e)
         pieces = [self.merge(data[x:y]) for x, y in zip(s[where].tolist(), e[where].tolist(), strict=True)]
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         flat, base = np.concatenate(pieces), np.concatenate(([0], np.cumsum(size)))
@@ -160,11 +164,20 @@ class Encoder:
         return ids, total[token_doc], self.offsets(ids)
 
     def offsets(self, ids: np.ndarray) -> np.ndarray:
-        sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))[ids]
+        sizes = self.sizes[ids]
         return np.cumsum(sizes) - sizes
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.words.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray, offsets: np.ndarray | None = None) -> bytes:
+        """The bytes of the ids, each at its offset; without offsets, one after another."""
+        if not len(ids):
+            return b""
+        if offsets is None:
+            offsets = self.offsets(ids)
+        sizes = self.sizes[ids]
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        out = np.zeros(int((offsets + sizes).max()), np.uint8)
+        out[place + np.repeat(offsets, sizes)] = self.bytes[place + np.repeat(self.first[ids], sizes)]
+        return out.tobytes()
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -229,10 +242,12 @@ def digests(docs: DataFrame, rank_path: str, doc_id: str = "doc_id", text: str =
         enc = _encoder(rank_path, ranks)
         for batch in batches:
             for lo, hi, b in chunks(batch.column(1)):
-                ids, first, _ = enc.encode(b)
+                ids, first, offsets = enc.encode(b)
+                text = memoryview(enc.decode(ids, offsets))
+                ends = np.append(offsets, len(text))[first].tolist()  # a document's bytes end where its next one's first id stands
                 each = [ids[x:y] for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
                 coded = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in each]
-                plain = [hashlib.sha256(enc.decode(x)).hexdigest() for x in each]
+                plain = [hashlib.sha256(text[x:y]).hexdigest() for x, y in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)), pa.array(coded), pa.array(plain)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), full_text(text).alias("text"))

@@ -16,17 +16,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import Bytes, chunks, dropped, full_text, ready, runs_of, stored
+from tickframe.llm.common import Bytes, chunks, dropped, full_text, ready, stored
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 
-def _repeats(keys: np.ndarray) -> np.ndarray:
-    """True where a key is found twice or more."""
-    _, at, n = np.unique(keys, return_inverse=True, return_counts=True)
-    return n[at] > 1
+def _numbered(*keys: np.ndarray) -> np.ndarray:
+    """A number for each different combination of the keys, by pairing them exactly one after another."""
+    out = np.unique(keys[0], return_inverse=True)[1]
+    for k in keys[1:]:
+        k = np.unique(k, return_inverse=True)[1]
+        out = np.unique(out * (k.max(initial=0) + 1) + k, return_inverse=True)[1]
+    return out
+
+
+def _same_runs(words: np.ndarray, k: int) -> np.ndarray:
+    """A number for each run of k words, the same for equal runs only: runs of 1, 2, 4 ... words are paired to longer ones."""
+    out, size = words, 1
+    while size < k:
+        step = min(size, k - size)
+        out = _numbered(out[: len(out) - step], out[step:])
+        size += step
+    return out
 
 
 def text_counts(b: Bytes, window: int = 8) -> dict[str, np.ndarray]:
@@ -37,20 +50,19 @@ def text_counts(b: Bytes, window: int = 8) -> dict[str, np.ndarray]:
     s, e, doc = b.spans(inside)
     starts = np.concatenate(([0], np.cumsum((b.buf & 0xC0) != 0x80)))
     symbols = np.concatenate(([0], np.cumsum(_SYMBOL[b.buf])))
-    salt = np.arange(docs, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
     # lines that hold a word
     ls, le, ldoc = b.spans(b.buf != 10)
     words_before = np.concatenate(([0], np.cumsum(inside)))
     full = words_before[le] > words_before[ls]
     ls, le, ldoc = ls[full], le[full], ldoc[full]
-    lines = b.hashes(ls, le) ^ salt[ldoc]
-    first = np.unique(lines, return_index=True)[1]
+    first = np.unique(_numbered(b.distinct(ls, le)[1], ldoc), return_index=True)[1]
     # words inside repeated windows
     covered = np.zeros(len(s) + 1, np.int64)
     if len(s) >= window:
         same = doc[: len(s) - window + 1] == doc[window - 1 :]
         at = np.flatnonzero(same)
-        again = at[_repeats(runs_of(b.hashes(s, e), window)[at] ^ salt[doc[at]])]
+        run = _numbered(_same_runs(b.distinct(s, e)[1], window)[at], doc[at])
+        again = at[np.bincount(run)[run] > 1] if len(at) else at
         np.add.at(covered, again, 1)
         np.add.at(covered, again + window, -1)
     hit = np.cumsum(covered)[:-1] > 0

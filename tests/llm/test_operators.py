@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickframe.llm import byte_bpe, chat_format, decontaminate, html_extract, jaccard_join, line_dedup, quality_rules, queries, secret_scan, toxicity, warc
+from tickframe.llm.common import Bytes
 from tickframe.llm.components import components
 
 from . import brute
@@ -78,15 +79,104 @@ def test_op5_groups_at_the_threshold(spark):
     assert got == brute.components(dict(rows))
 
 
-def test_op5_lists_find_every_pair():
+def test_op5_lists_find_every_pair_of_groups():
     rng = np.random.default_rng(1)
     n = 400
-    sizes, token, group = rng.integers(80, 130, n), rng.integers(0, 3, n), rng.integers(0, 50, n)
-    found = set()
-    for x, y in jaccard_join.list_pairs(token.astype(np.uint32), np.arange(n), group, sizes, np.zeros(n, int), 80):
-        found |= {(min(p), max(p)) for p in zip(x.tolist(), y.tolist(), strict=True)}
-    want = {(j, i) for i in range(n) for j in range(i) if token[i] == token[j] and group[i] != group[j] and 100 * min(sizes[i], sizes[j]) >= 80 * max(sizes[i], sizes[j])}
-    assert found == want
+    for most in (7, 1 << 19):
+        sizes, token, group, at = rng.integers(80, 130, n), rng.integers(0, 3, n), rng.integers(0, 50, n), rng.integers(0, 16, n)
+        found = set()
+        for ga, gb, x, y in jaccard_join.list_pairs(token.astype(np.uint32), np.arange(n), group, sizes, at, 80, most):
+            assert (ga < gb).all() and (group[x] == ga).all() and (group[y] == gb).all() and (token[x] == token[y]).all()
+            found |= set(zip(ga.tolist(), gb.tolist(), strict=True))
+        fits = lambda i, j: 80 * (sizes[i] + sizes[j]) <= 180 * min(sizes[i] - at[i], sizes[j] - at[j])
+        want = {(min(group[i], group[j]), max(group[i], group[j])) for i in range(n) for j in range(i) if token[i] == token[j] and group[i] != group[j] and 100 * min(sizes[i], sizes[j]) >= 80 * max(sizes[i], sizes[j]) and fits(i, j)}
+        assert found == want
+
+
+def test_op5_positions_out_of_reach_are_never_compared():
+    n = 20_000  # one list, no two sets in one group, all at a position that leaves too little
+    out = list(jaccard_join.list_pairs(np.zeros(n, np.uint32), np.arange(n), np.arange(n), np.full(n, 100), np.full(n, 12), 80))
+    assert not out
+
+
+def _families(rng, families, members, edits, size=120, kinds=1):
+    """Texts in families; kinds: related families of one base, that differ in a fixed share of words."""
+    rows = []
+    for f in range(families):
+        base = [f"w{f}x{rng.randrange(10**6)}" for _ in range(size)]
+        for kind in range(kinds):
+            own = list(base)
+            for i in range(kind, size, 34):
+                own[i] = f"k{kind}y{rng.randrange(10**6)}"
+            for _ in range(members):
+                t = list(own)
+                for _ in range(rng.randrange(edits)):
+                    t[rng.randrange(size)] = f"z{rng.randrange(10**6)}"
+                rows.append(t)
+    rng.shuffle(rows)
+    return [(i, " ".join(t)) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("seed", [1])
+def test_op5_related_families(spark, seed):
+    """Families near the threshold of each other: pairs of groups whose first pair of members does not link."""
+    rows = _families(random.Random(seed), 4, 14, 4, kinds=3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(frame(spark, rows)).collect()}
+    assert got == brute.components(dict(rows))
+
+
+def test_op5_members_of_undecided_groups_meet_in_cells(spark):
+    rng = random.Random(9)
+    sets = {i: {rng.randrange(40 + 40 * (i > 19)) for _ in range(30)} | set(range(100 * (i % 20 > 9), 100 * (i % 20 > 9) + 20)) for i in range(40)}
+    h = {i: np.unique(np.array([hash((x, 7)) % (1 << 63) for x in s], np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for i, s in sets.items()}
+    own = spark.createDataFrame([(i, len(x), bytearray(jaccard_join.bitmap(x))) for i, x in h.items()], "node long, n long, bits binary")
+    members = own.withColumn("group", (F.col("node") / 10).cast("int") * 10).withColumn("differ", F.when(F.col("node") % 10 == 0, 0))
+    groups = spark.createDataFrame([(0, 10), (0, 20), (20, 30)], "ga long, gb long")
+    got = {(r.a, r.b) for r in jaccard_join.wider_pairs(groups, members, own, 80, most=3).collect()}
+    need = {(i, j) for i in h for j in h if i < j and (i // 10 * 10, j // 10 * 10) in {(0, 10), (0, 20), (20, 30)} and 180 * len(np.intersect1d(h[i], h[j])) >= 80 * (len(h[i]) + len(h[j]))}
+    assert need <= got and all((i // 10 * 10, j // 10 * 10) in {(0, 10), (0, 20), (20, 30)} for i, j in got)
+
+
+def test_op5_place_with_many_pairs_is_cut_into_cells(spark):
+    rows = _families(random.Random(4), 1, 40, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = [(i, j) for i in range(40) for j in range(i + 1, 40)]
+    got = {(r.a, r.b): r.differ for r in jaccard_join.linked(spark.createDataFrame(pairs, "a long, b long"), docs, 5, 80, most=8).collect()}
+    words = {i: t.split() for i, t in rows}
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in words.items()}
+    assert got == {(i, j): len(sets[i] ^ sets[j]) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+
+
+def test_op5_whole_table(spark, docs):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op5_jaccard_join(spark, SF).collect()}
+    assert got == brute.components(docs)
+
+
+def thue_morse(k):
+    """Two words of 2^k letters that sums of letters times powers modulo 2^64 cannot tell apart."""
+    bits = [0]
+    for _ in range(k):
+        bits += [1 - x for x in bits]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+@pytest.mark.parametrize("k", [11])
+def test_words_are_told_apart_by_their_bytes(spark, k):
+    import public_tokenizers as P
+    import tiktoken
+
+    x, y = thue_morse(k)
+    b = Bytes(np.frombuffer(f"{x} {y} {x}".encode(), np.uint8), np.array([0, 3 * len(x) + 2]))
+    s, e, _ = b.spans(~b.spaces())
+    assert len(set(b.hashes(s, e).tolist())) == 1 and b.distinct(s, e)[1].tolist() == [0, 1, 0] and len(set(b.strong(s, e).tolist())) == 2
+    rows = [(1, f"{x}\n{y}"), (2, " ".join([x, "b", "c", "d", "e", y, "b", "c", "d", "e"])), (3, " ".join([x, *"bcdefgh", y, *"bcdefgh"]) + f"\n{y}\n{x}")]
+    ranks = {base64.b64decode(a): int(n) for a, n in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for r in byte_bpe.digests(frame(spark, rows), queries.rank_file()).collect():
+        ids = enc.encode_ordinary(dict(rows)[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), brute.sha(np.array(ids, "<u4").tobytes()), brute.sha(dict(rows)[r.doc_id]))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar(frame(spark, rows)).collect()} == brute.components(dict(rows))
+    assert {r.doc_id: tuple(r)[1:6] for r in quality_rules.quality(frame(spark, rows)).collect()} == {i: brute.counts(t) for i, t in rows}
 
 
 def test_op5_bitmaps_never_rule_out_a_link():
@@ -96,11 +186,10 @@ def test_op5_bitmaps_never_rule_out_a_link():
         a = rng.integers(0, 1 << 63, n).astype(np.uint64)
         b = np.concatenate([a[: int(n * 0.9)], rng.integers(0, 1 << 63, n // 5).astype(np.uint64)])
         a, b = np.unique(a), np.unique(b)
-        if jaccard_join.alike(a, b, 80):
-            p, q = np.frombuffer(jaccard_join.bitmap(a), np.uint64), np.frombuffer(jaccard_join.bitmap(b), np.uint64)
-            while len(p) != len(q):
-                p, q = (p[: len(p) // 2] ^ p[len(p) // 2 :], q) if len(p) > len(q) else (p, q[: len(q) // 2] ^ q[len(q) // 2 :])
-            assert 180 * int(np.bitwise_count(p ^ q).sum()) <= 20 * (len(a) + len(b))
+        differ = jaccard_join.apart(jaccard_join.bitmap(a), jaccard_join.bitmap(b))
+        assert differ <= len(a) + len(b) - 2 * jaccard_join.shared(a, b)
+        if jaccard_join.alike(len(a) + len(b), jaccard_join.shared(a, b), 80):
+            assert jaccard_join.may_link(len(a), len(b), differ, 80)
 
 
 def test_op8_edges(spark):
@@ -188,6 +277,17 @@ def test_op7_edges(spark):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), brute.sha(np.array(ids, "<u4").tobytes()), brute.sha(t))
 
 
+def test_op7_whole_table(spark, docs):
+    import public_tokenizers as P
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {i: enc.encode_ordinary(t or "") for i, t in docs.items()}
+    got = {r.doc_id: tuple(r)[1:] for r in queries.op7_byte_bpe(spark, SF).collect()}
+    assert got == {i: (len(x), brute.sha(np.array(x, "<u4").tobytes()), brute.sha(docs[i] or "")) for i, x in want.items()}
+
+
 def test_op7_offsets_and_decoding(spark):
     got = byte_bpe.decode(byte_bpe.encode(frame(spark), queries.rank_file(), with_offsets=True), queries.rank_file()).collect()
     for r in got:

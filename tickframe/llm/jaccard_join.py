@@ -123,9 +123,11 @@ def heavy_shingles(rows: DataFrame, k: int, heavy: int) -> tuple[int, np.ndarray
         if total > heavy:
             break
         cut = step
-    top = (counted.limit(0) if cut is None else counted.where(F.col("step") >= cut)).toPandas().sort_values("h")
+    top = (counted.limit(0) if cut is None else counted.where(F.col("step") >= cut)).toArrow()
     dropped(counted)
-    return int(shift), top.h.to_numpy(np.int64).view(U64), top.step.to_numpy(np.int64)
+    keys, steps = top["h"].to_numpy().view(U64), top["step"].to_numpy()
+    order = np.argsort(keys)
+    return int(shift), keys[order], steps[order].astype(np.uint8)
 
 
 def bitmap(h: np.ndarray) -> bytes:
@@ -193,7 +195,7 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[int, np.ndarray, n
                     cut = h[low] >> U64(shift)
                     at = np.minimum(np.searchsorted(keys, cut), len(keys) - 1)
                     known = keys[at] == cut
-                    place[low[known]] = 2 + steps[at[known]]
+                    place[low[known]] = 2 + steps[at[known]].astype(np.int64)
                 ordered = h[np.argsort(np.repeat(np.arange(hi - lo) << 8, n) + place, kind="stable")]
                 prefix = [ordered[x : x + m].tobytes() for x, m in zip(first[:-1].tolist(), np.where(n > 0, n - needed(n, percent) + 1, 0).tolist(), strict=True)]
                 flat = pa.array(anchors.reshape(-1))
@@ -444,7 +446,7 @@ def wider_pairs(undecided: DataFrame, members: DataFrame, own: DataFrame, percen
     return out
 
 
-def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, heavy: int = 1 << 20) -> DataFrame:
+def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, heavy: int = 1 << 19) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable over links) of every row."""
     ready(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), full_text(text).alias("text"))

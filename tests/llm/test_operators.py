@@ -192,18 +192,40 @@ def test_op5_bitmaps_never_rule_out_a_link():
             assert jaccard_join.may_link(len(a), len(b), differ, 80)
 
 
-def test_op8_edges(spark):
-    items = spark.createDataFrame([(1, " ".join(WORDS[3:15])), (2, "two, WORDS!"), (3, ""), (4, None), (5, "--"), (None, "é ü")], "item_id long, text string")
-    got = decontaminate.decontaminate(frame(spark), items).collect()
-    want = brute.contamination(unique(), {1: " ".join(WORDS[3:15]), 2: "two, WORDS!", 99: "é ü"})
-    for r in got:
-        if r.doc_id is not None:
-            n_words, n_hit, n_items, _, bad = want[r.doc_id]
-            assert (r.n_words, r.n_hit, r.contaminated) == (n_words, n_hit, bad)
-    assert len(got) == len(ROWS)
-    nothing = decontaminate.decontaminate(frame(spark), items.limit(0)).collect()
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_op8_edges(spark, most):
+    items = spark.createDataFrame([(1, " ".join(WORDS[3:15])), (2, "two, WORDS!"), (3, ""), (4, None), (5, "--"), (None, "é ü"), (6, "TWO words"), (7, "long " * 40)], "item_id long, text string")
+    rows = [*ROWS, (20, "Long Éa " * 3 + "long " * 12), (20, "x " + " ".join(WORDS[2:14])), (21, " ".join(WORDS[3:12])), (22, "É Ü é ü")]
+    got = decontaminate.decontaminate(frame(spark, rows), items, most=most).collect()
+    own = {1: " ".join(WORDS[3:15]), 2: "two words", 99: "é ü", 6: "two words", 7: "long " * 40}
+    want = {(i, t): brute.contamination({0: t}, own)[0] for i, t in rows}
+    left = sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_hit, r.contaminated, r.n_items) for r in got)
+    assert left == sorted((i is None, i or 0, *want[i, t][:2], want[i, t][-1], want[i, t][2] - ("é ü" in brute.low(t))) for i, t in rows)
+    nothing = decontaminate.decontaminate(frame(spark), items.limit(0), most=most).collect()
     assert len(nothing) == len(ROWS) and not any(r.contaminated for r in nothing)
-    assert decontaminate.decontaminate(frame(spark, []), items).count() == 0
+    assert decontaminate.decontaminate(frame(spark, []), items, most=most).count() == 0
+    kept = decontaminate.clean(frame(spark, rows), items, most=most).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted((i or 0, t or "") for i, t in rows if not want[i, t][-1])
+
+
+def test_op8_places_cover_every_window(spark):
+    rng = random.Random(8)
+    texts = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(60)))) for i in range(60)]  # many equal runs
+    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.choice([3, 10, 12, 14])))) for i in range(40)]
+    got = {r.doc_id: tuple(r)[1:6] for r in decontaminate.decontaminate(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute.contamination(dict(texts), dict(items))
+
+
+def test_op8_fingerprints_are_joined_before_any_digest_is_taken(spark):
+    items = spark.createDataFrame([(1, " ".join(WORDS))], "item_id long, text string")
+    digests, prints, shorter = decontaminate._items(items, "item_id", "text", 10, 5)
+    for most, join in ((10, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        docs = frame(spark).select("doc_id", "text")
+        plan = decontaminate.candidates(docs, prints, shorter, 10, 5, most, mark=True)._jdf.queryExecution().executedPlan().toString()
+        lines = plan.splitlines()
+        first = next(i for i, x in enumerate(lines) if join in x)
+        assert any("md5" in x for x in lines[:first]) and not any("md5" in x for x in lines[first:])
+        assert not any("Exchange" in x and "words" in x for x in lines[: first + 1]) or join == "SortMergeJoin"
 
 
 def test_op8_whole_table(spark, docs):

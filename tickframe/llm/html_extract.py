@@ -1,20 +1,27 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to lines: one for each block element that holds text, with what surrounds it. Lines of parts that are
-never the article by their element or by a class or id (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, comments) weigh nothing. The lengths of the other lines are summed over sliding windows; where the sums
-surge from nothing a run of text begins, where they dive back it ends, and the text between is kept: all of it if the
-page marks an article or main element, else the longest run and those at least ``share`` of it.
+Markup is stripped to lines: one for each block element that holds text, with what surrounds it. A line weighs its length
+outside links; lines of parts that are never the article by their element or by a class or id (menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles, comments) weigh nothing. Weights are summed over sliding windows of
+lines. The page's own level is the weight of the line that an average character stands in: where the sums surge to
+``rise`` of it a run of text begins, where they dive below, it ends. Short lines at either end of a run that are no
+headings are taken off again.
+
+The runs decide what is kept. A page with article or main elements keeps those that a run meets, with all their lines;
+those that none meets (teasers, cards) go. A page where no run meets such an element keeps what the runs cover.
 
 Edges: null and empty pages and pages without text give an empty text; broken markup (unclosed elements, `<` in text)
-never fails; equal rows get equal results; a very long page is one task's row; other columns are ignored.
+never fails and takes time in proportion to the page; a `<` in a tag and outside its quotes ends it as text; equal rows
+get equal results; a null page_id or url stays null; a very long page is one task's row; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,99 +43,162 @@ NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|side-?bar\w*|aside|widget\w*|cookie\w*|consent|notice\w*|gdpr|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|comments?|comment-\w+|disqus|replies|respond|pagination|pager|toolbar|copyright|legal|skip)(?:$|[\s_-])",
     re.I,
 )
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?+)([a-zA-Z][^\s/><]*+)((?:[^>\"'<]++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+_NAME = re.compile(r"\b(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.I)
 _ENDS_P = BLOCK - {"body", "html"}
-
-
-def lines_of(page: str) -> tuple[list[str], list[bool], list[bool]]:
-    """The page's lines of text, whether each may be article text, and whether it stands in an article or main element."""
-    lines: list[str] = []
-    may: list[bool] = []
-    inside: list[bool] = []
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_CLOSING = {name: re.compile(rf"</{name}\s*+>", re.I) for name in RAW} | {"head": re.compile(r"</head\s*+>|(?=<body\b)", re.I)}
+
+
+class Line(NamedTuple):
+    """A line of text, its length outside links, whether it may be article text, the article it stands in (0: none), and whether it is a heading."""
+
+    text: str
+    weight: int
+    may: bool
+    article: int
+    heading: bool
+
+
+class _Open:
+    """The open block elements, with what the lines need to know of all of them kept as counts."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool]] = []  # element, beside the article, an article
+        self.names: Counter[str] = Counter()
+        self.beside = self.headings = self.made = 0
+        self.articles: list[int] = []
+
+    def push(self, name: str, beside: bool, article: bool) -> None:
+        self.stack.append((name, beside, article))
+        self.names[name] += 1
+        self.beside += beside
+        self.headings += name in _HEADINGS
+        if article:
+            self.made += 1
+            self.articles.append(self.made)
+
+    def pop(self) -> str:
+        name, beside, article = self.stack.pop()
+        self.names[name] -= 1
+        self.beside -= beside
+        self.headings -= name in _HEADINGS
+        if article:
+            self.articles.pop()
+        return name
+
+    def top(self) -> str:
+        return self.stack[-1][0] if self.stack else ""
+
+
+def lines_of(page: str) -> list[Line]:
+    """The page's lines of text, in one pass."""
+    lines: list[Line] = []
     piece: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, beside the article, in the article
+    inside, linked, link = _Open(), 0, None  # link: how many elements were open where it began
+    unclosed: set[str] = set()  # raw elements that no longer end
+
+    def add(text: str) -> None:
+        nonlocal linked
+        piece.append(text)
+        if link is not None:
+            linked += len(text.strip())
 
     def flush() -> None:
+        nonlocal linked
         text = " ".join(entities.unescape("".join(piece)).split())
         piece.clear()
         if text:
-            lines.append(text)
-            may.append(not any(x[1] for x in stack))
-            inside.append(any(x[2] for x in stack))
+            lines.append(Line(text, max(len(text) - linked, 0), not inside.beside, inside.articles[-1] if inside.articles else 0, bool(inside.headings)))
+        linked = 0
 
     at, n = 0, len(page)
     while at < n:
         m = _TAG.search(page, at)
         if not m:
-            piece.append(page[at:])
+            add(page[at:])
             break
         if m.start() > at:
-            piece.append(page[at : m.start()])
+            add(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
         name = m[2].lower()
         if m[1]:
-            if name in BLOCK:
+            if name == "a":
+                link = None
+            elif name in BLOCK:
                 flush()
-                if any(x[0] == name for x in stack):
-                    while stack.pop()[0] != name:
+                if inside.names[name]:
+                    while inside.pop() != name:
                         pass
+                    if link is not None and len(inside.stack) < link:
+                        link = None
             continue
         if name == "br":
             piece.append(" ")
             continue
+        if name == "a":
+            link = len(inside.stack)
+            continue
         if name in RAW:
-            if name == "head":  # its own elements are raw; an unclosed head ends at the body
-                m = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(page, at)
+            whole = name in ("script", "style", "textarea", "title", "iframe", "noscript")
+            m = None if name in unclosed or (name != "head" and m[3].rstrip().endswith("/")) else _CLOSING[name].search(page, at)
+            if m:
+                at = m.end()
             else:
-                m = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at) if not m[3].rstrip().endswith("/") else None
-                if m is None and name not in ("script", "style", "textarea", "title", "iframe", "noscript"):
-                    continue
-            at = m.end() if m else (at if name == "head" else n)
+                unclosed.add(name)
+                at = n if whole else at
             continue
         if name not in BLOCK or name in VOID:
             if name == "hr":
                 flush()
             continue
         flush()
-        if name in _ENDS_P and stack and stack[-1][0] == "p":
-            stack.pop()
-        if name == "li" and stack and stack[-1][0] == "li":
-            stack.pop()
+        if name in _ENDS_P and inside.top() == "p":
+            inside.pop()
+        if name == "li" and inside.top() == "li":
+            inside.pop()
         if name in ("article", "main", "body"):  # what an unclosed part beside the article would swallow
-            while stack and stack[-1][0] in ("p", "li", "ul", "ol"):
-                stack.pop()
+            while inside.top() in ("p", "li", "ul", "ol"):
+                inside.pop()
         called = " ".join(a or b or c for a, b, c in _NAME.findall(m[3]))
         beside = name in ASIDE or bool(called and NAMED.search(called))
         if name in ("article", "main", "body", "html"):
             beside = False
-        if name in ("header", "footer") and not beside:
-            beside = True
         if not m[3].rstrip().endswith("/"):
-            stack.append((name, beside, name in ("article", "main") or "role" in m[3] and "main" in called.split()))
+            inside.push(name, beside, name in ("article", "main") or "role" in m[3] and "main" in called.split())
     flush()
-    return lines, may, inside
+    return lines
 
 
-def runs(weights: np.ndarray, window: int = 3) -> list[tuple[int, int]]:
+def runs(weights: np.ndarray, window: int = 3, rise: float = 0.5) -> list[tuple[int, int]]:
     """Surges and dives of the sums of weights over sliding windows: where text begins and ends."""
-    if not len(weights):
+    if not len(weights) or not weights.any():
         return []
+    level = float((weights**2).sum() / weights.sum())
     sums = np.convolve(weights, np.ones(window), "full")[window // 2 : window // 2 + len(weights)]
-    on = (sums > 0).astype(int)
+    on = (sums >= rise * level).astype(int)
     edge = np.diff(np.concatenate(([0], on, [0])))
     return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True))
 
 
-def main_text(page: str, window: int = 3, share: float = 0.25) -> str:
-    lines, may, inside = lines_of(page)
-    marked = any(a and b for a, b in zip(may, inside, strict=True))
-    weights = np.array([len(x) if a and (b or not marked) else 0 for x, a, b in zip(lines, may, inside, strict=True)], float)
-    found = [(a, b, weights[a:b].sum()) for a, b in runs(weights, window)]
-    least = 0 if marked else share * max((s for *_, s in found), default=0)
-    return "\n".join(lines[i] for a, b, s in found if s >= least for i in range(a, b) if weights[i])
+def main_text(page: str, window: int = 3, rise: float = 0.5, short: float = 0.25) -> str:
+    lines = lines_of(page)
+    weights = np.array([x.weight if x.may else 0 for x in lines], float)
+    found = runs(weights, window, rise)
+    least = short * rise * float((weights**2).sum() / weights.sum()) if found else 0.0
+    kept = np.zeros(len(lines), bool)
+    for a, b in found:
+        ends = lambda i: weights[i] < least and not (lines[i].heading and lines[i].may)
+        while a < b and ends(a):
+            a += 1
+        while a < b and weights[b - 1] < least:  # a heading after a text belongs to what follows
+            b -= 1
+        kept[a:b] = True
+    met = {x.article for x, k in zip(lines, kept, strict=True) if k and x.article}
+    within = [x.article in met for x in lines]
+    return "\n".join(x.text for x, k, w in zip(lines, kept, within, strict=True) if x.may and (w or (k and not met)))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -393,9 +393,51 @@ def test_op2_pages(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def test_op2_without_article_keeps_the_long_run():
-    page = "<body><div>Short menu</div>" + "".join(f"<p>{'word ' * 40}{i}</p>" for i in range(5)) + "<div class='footer'>foot</div></body>"
-    assert html_extract.main_text(page).count("word") == 200
+LONG = "Plain words of the text that stand in a paragraph of some length, one after another. "
+#: Pages without a class or element that the lists know: only the distribution of line lengths tells the text.
+LOOSE = [
+    ("<body>" + "".join(f"<div>Item {i}</div>" for i in range(12)) + "<h1>Title</h1>" + "".join(f"<p>{LONG * 3}{i}</p>" for i in range(5)) + "".join(f"<div>More {i}</div>" for i in range(12)) + "</body>", "\n".join(["Title", *(f"{LONG * 3}{i}" for i in range(5))])),
+    ("<body>" + "".join(f"<article>Teaser {i}</article>" for i in range(9)) + f"<article><h2>Head</h2><p>{LONG * 4}</p><p>Short.</p><p>{LONG * 2}</p></article>" + "<article>Another</article></body>", f"Head\n{(LONG * 4).strip()}\nShort.\n{(LONG * 2).strip()}"),
+    ("<body>" + "".join(f'<div><a href="/{i}">{LONG}</a></div>' for i in range(9)) + "<div>x</div>" * 5 + f"<p>{LONG * 5}</p><p>{LONG}</p>", f"{(LONG * 5).strip()}\n{LONG.strip()}"),
+    ("<div>a</div><div>b</div>", "a\nb"),
+]
+
+
+def test_op2_the_distribution_decides():
+    for page, want in LOOSE:
+        assert html_extract.main_text(page) == want
+        every = "\n".join(x.text for x in html_extract.lines_of(page) if x.may)  # what the lists alone would keep
+        assert (every == want) == (page == LOOSE[-1][0])
+
+
+def test_op2_runs_by_brute_force():
+    rng = random.Random(2)
+    for _ in range(300):
+        w = [rng.choice([0, 0, 1, 5, 50, 400]) for _ in range(rng.randrange(1, 40))]
+        total = sum(w)
+        sums = [sum(w[max(0, i - 1) : i + 2]) for i in range(len(w))]
+        on = [total > 0 and s >= 0.5 * sum(x * x for x in w) / total for s in sums]
+        got = html_extract.runs(np.array(w, float))
+        assert [any(a <= i < b for a, b in got) for i in range(len(w))] == on and all(a < b for a, b in got)
+
+
+def test_op2_time_is_in_proportion_to_the_page():
+    import time
+
+    n = 1_000_000
+    for unit in ("<", "<a", '<a "', "<a b=", "<div>", "<button>x", "<script>", "<!--", "<p class='", "</p><i>", "&"):
+        page = unit * (n // len(unit)) if unit != "<" else "<" + "a" * n
+        began = time.process_time()
+        html_extract.main_text(page)
+        assert time.process_time() - began < 5, unit
+    assert html_extract.main_text("<div>" * 50_000 + "</p>" * 50_000 + "text") == "text"
+
+
+def test_op2_rows(spark):
+    rows = [(1, "u", PAGE, 0), (1, "u", PAGE, 0), (None, None, "<p>x</p>", 0), (2, None, None, 0), (3, "u", f"<article><p>{LONG * 12_000}</article>", 0)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
+    assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 1), (1, 49), (1, 49), (2, 0), (3, len(LONG) * 12_000 - 1)]
+    assert all(r.n_chars == len(r.text) for r in got) and [r.url for r in got if r.page_id is None] == [None]
 
 
 def test_op6_edges(spark):

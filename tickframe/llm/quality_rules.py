@@ -1,10 +1,15 @@
 """Quality rules with host verdicts.
 
-Each document gets counts and a base verdict from its whole text. Failures are summed by host, each host's rate is
-shrunk with a beta prior fitted to all hosts, and hosts whose rate is surely bad pass their verdict on to their documents.
+Each document gets counts and a base verdict from its whole text. Failures are summed by host, and each host's rate is
+shrunk with a beta prior fitted to all hosts. Two bounds come from the posterior, `sigmas` deviations below the shrunk rate:
+
+- above the prior's mean, the host is suspect: worse than hosts are, beyond chance. Its documents must meet the rules with
+  a margin (``strict`` times the least words, no more than that part of the repeats, few symbols and repeated lines).
+- above ``reject_rate``, most of what it has fails: none of its documents is kept.
 
 Edges: null or empty texts have no words and fail the base rule; a null host is a host of its own; equal rows get equal
-results; an empty table gives an empty result; other columns are ignored.
+results; one host, or hosts that all fail or all pass, differ from no prior and get no verdict but by ``reject_rate``;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,14 +97,18 @@ def base_failed(min_words: int = 20, repeat_percent: int = 30) -> F.Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
 
 
-def host_verdicts(judged: DataFrame, host: str = "host", failed: str = "base_failed", reject_rate: float = 0.9, sigmas: float = 3.0) -> DataFrame:
-    """One row per host: failures, documents, the shrunk rate and whether it lies above reject_rate by so many deviations.
+def strict_failed(strict: float = 2.0, min_words: int = 20, repeat_percent: int = 30) -> F.Column:
+    """What a document of a suspect host must not show: few words, repeats or repeated lines within a margin of the base rule, a symbol for every eighth letter."""
+    return (F.col("n_words") < strict * min_words) | (100 * strict * F.col("n_repeat_words") > repeat_percent * F.col("n_words")) | (8 * F.col("n_symbols") > F.col("word_chars")) | (100 * F.col("n_dup_lines") > repeat_percent * F.col("n_words"))
+
+
+def host_verdicts(judged: DataFrame, host: str = "host", failed: str = "base_failed", reject_rate: float = 0.5, sigmas: float = 2.0) -> DataFrame:
+    """One row per host: failures, documents, the shrunk rate, and whether it is suspect or rejected.
 
     The prior's mean is the share of failures over all documents, its weight comes from the spread of the hosts' rates
-    beyond what chance gives (method of moments). The three sums it needs are one row.
+    beyond what chance gives (method of moments). The sums it needs are one row.
     """
-    hosts = judged.groupBy(host).agg(F.count(F.lit(1)).alias("host_docs"), F.sum(F.col(failed).cast("long")).alias("host_failed"))
-    hosts = stored(hosts, "hosts")
+    hosts = stored(judged.groupBy(host).agg(F.count(F.lit(1)).alias("host_docs"), F.sum(F.col(failed).cast("long")).alias("host_failed")), "hosts")
     rate = F.col("host_failed") / F.col("host_docs")
     k, n, f, rates, squares, noise = hosts.agg(F.count(F.lit(1)), F.sum("host_docs"), F.sum("host_failed"), F.sum(rate), F.sum(rate * rate), F.sum(1 / F.col("host_docs"))).first()
     mean = (f / n) if n else 0.0
@@ -107,15 +116,17 @@ def host_verdicts(judged: DataFrame, host: str = "host", failed: str = "base_fai
     weight = min(max(mean * (1 - mean) / spread - 1, 1.0), 1e6) if spread > 0 else 1e6
     a, b = F.col("host_failed") + mean * weight, F.col("host_docs") + weight
     shrunk = a / b
-    deviation = F.sqrt(shrunk * (1 - shrunk) / (b + 1))
-    return hosts.select(host, "host_docs", "host_failed", shrunk.alias("host_rate"), (shrunk - sigmas * deviation > reject_rate).alias("host_rejected"))
+    low = shrunk - sigmas * F.sqrt(shrunk * (1 - shrunk) / (b + 1))
+    out = stored(hosts.select(host, "host_docs", "host_failed", shrunk.alias("host_rate"), (low > mean).alias("host_suspect"), (low > reject_rate).alias("host_rejected")), "verdicts")
+    dropped(hosts)
+    return out
 
 
-def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", reject_rate: float = 0.9) -> DataFrame:
+def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", reject_rate: float = 0.5, sigmas: float = 2.0) -> DataFrame:
     """Counts, base verdict, host rate and final verdict of every document."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), full_text(text).alias("text"))
     counted = stored(with_counts(rows).withColumn("base_failed", base_failed()), "quality")
-    verdicts = stored(host_verdicts(counted, reject_rate=reject_rate), "verdicts")
-    v = verdicts.withColumnRenamed("host", "_host")
+    v = host_verdicts(counted, reject_rate=reject_rate, sigmas=sigmas).withColumnRenamed("host", "_host")
     joined = counted.join(v, counted.host.eqNullSafe(v["_host"]), "left")
-    return joined.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"), "host", F.round("host_rate", 9).alias("host_rate"))
+    kept = ~F.col("base_failed") & ~F.col("host_rejected") & ~(F.col("host_suspect") & strict_failed())
+    return joined.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), "host", F.round("host_rate", 9).alias("host_rate"), "host_suspect")

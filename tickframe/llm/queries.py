@@ -122,8 +122,9 @@ b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_fail
 hosts AS (SELECT host, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM b GROUP BY 1),
 mo AS (SELECT sum(f) / sum(n) AS m, avg((f / n) * (f / n)) - avg(f / n) * avg(f / n) - (sum(f) / sum(n)) * (1 - sum(f) / sum(n)) * avg(1 / n) AS v FROM hosts),
 pr AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1), 1e6) ELSE 1e6 END AS k FROM mo),
-ve AS (SELECT host, s - 3 * sqrt(s * (1 - s) / (n + k + 1)) > 0.9 AS bad FROM (SELECT host, n, k, (f + m * k) / (n + k) AS s FROM hosts, pr))
-SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept, b.host FROM b JOIN ve ON ve.host IS NOT DISTINCT FROM b.host
+ve AS (SELECT host, s - 2 * sqrt(s * (1 - s) / (n + k + 1)) AS low, m FROM (SELECT host, n, k, m, (f + m * k) / (n + k) AS s FROM hosts, pr)),
+j AS (SELECT b.*, low > m AS host_suspect, low > 0.5 AS bad, n_words < 40 OR 200 * n_repeat_words > 30 * n_words OR 8 * n_symbols > word_chars OR 100 * n_dup_lines > 30 * n_words AS strict FROM b JOIN ve ON ve.host IS NOT DISTINCT FROM b.host)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AND NOT (host_suspect AND strict) AS kept, host, host_suspect FROM j
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

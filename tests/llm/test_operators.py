@@ -275,9 +275,36 @@ def test_op10_edges(spark):
     assert quality_rules.quality(frame(spark, [])).count() == 0
 
 
-def test_op10_host_verdict_rejects_only_surely_bad_hosts(spark):
+def _hosts(spark, failing):
+    """host -> (documents, of which fail); the others are plain texts of 60 words."""
+    rows = [(f"{h}-{i}", "bad" if i < bad else " ".join(f"w{h}x{i}y{j}" for j in range(60)), h) for h, (n, bad) in failing.items() for i in range(n)]
+    return spark.createDataFrame([(i, t, h) for i, (_, t, h) in enumerate(rows)], "doc_id long, text string, source string")
+
+
+def test_op10_shrinkage_turns_verdicts_both_ways(spark):
+    low = lambda f, n: f / n - 2 * (f / n * (1 - f / n) / (n + 1)) ** 0.5  # noqa: E731  the same bound without a prior
+    few = {f"good{i}": (100, 2) for i in range(20)} | {"tiny": (3, 3), "sure": (200, 190)}
+    got = {r.host: r for r in quality_rules.host_verdicts(quality_rules.with_counts(_hosts(spark, few).select("doc_id", F.col("source").alias("host"), "text")).withColumn("base_failed", quality_rules.base_failed())).collect()}
+    assert low(3, 3) > 0.5 and not got["tiny"].host_rejected  # three of three say little where hosts are good
+    assert got["sure"].host_rejected and not got["good1"].host_suspect
+    many = {f"bad{i}": (100, 80 + i) for i in range(10)} | {"middle": (30, 18)}
+    got = {r.host: r for r in quality_rules.host_verdicts(quality_rules.with_counts(_hosts(spark, many).select("doc_id", F.col("source").alias("host"), "text")).withColumn("base_failed", quality_rules.base_failed())).collect()}
+    assert low(18, 30) < 0.5 and got["middle"].host_rejected  # where hosts are bad, less says as much
+
+
+def test_op10_suspect_hosts_need_a_margin(spark):
+    docs = _hosts(spark, {f"good{i}": (60, 1) for i in range(12)} | {"odd": (60, 20)})
+    short = spark.createDataFrame([(10_000 + i, " ".join(f"s{i}x{j}" for j in range(30)), h) for i, h in enumerate(("odd", "good1"))], docs.schema)
+    got = quality_rules.quality(docs.unionByName(short)).collect()
+    assert {r.host for r in got if r.host_suspect} == {"odd"}
+    kept = {r.doc_id: r.kept for r in got}
+    assert not kept[10_000] and kept[10_001]  # the same document but for its host
+    assert all(r.kept for r in got if r.n_words == 60)  # clean documents stay, whatever their host
+
+
+def test_op10_rejected_hosts(spark):
     rows = [(i, BODY if i % 50 == 0 else "bad", "bad-host") for i in range(400)] + [(1000 + i, BODY + f" {i}", "good") for i in range(400)]
-    got = quality_rules.quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), reject_rate=0.8).collect()
+    got = quality_rules.quality(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert all(r.kept for r in got if r.host == "good")
     assert not any(r.kept for r in got if r.host == "bad-host")
 

@@ -10,9 +10,9 @@
    differ) and then compared exactly. Groups of several members whose pair fails are looked at once more: their leaders'
    difference, less each member's difference from its leader, rules most members out; the others meet by bitmap.
 
-Any order of shingles gives right prefixes. Here shingles with a hash in the lower three eighths come first, but those
-held three times or more, of which the ``heavy`` most frequent are known, come last: what many texts share hardly ever
-opens a list. The bound limits what is broadcast, and only orders: it drops nothing.
+Any order of shingles gives right prefixes. Here all shingles of all texts are counted, and those held three times or more,
+of which the ``heavy`` most frequent are known, come last: what many texts share hardly ever opens a list. The bound limits
+what is broadcast, and only orders: it drops nothing.
 
 Words are told apart by their bytes, and known across texts by 64 bits of BLAKE2b; a shingle is the mixed sum of its five.
 
@@ -63,16 +63,13 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
-REGION = U64(3 << 61)  # hashes below it are counted and stand first in prefixes
-
-
 def heavy_shingles(rows: DataFrame, k: int, heavy: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """Counts every shingle of the region over all rows: a shift, and the most frequent shifted shingles with a step of their count each.
+    """Counts every shingle over all rows: a shift, and the most frequent shifted shingles with a step of their count each.
 
     Shingles travel as packed remainders of a bucket; a bucket holds about 2^21 of them at any input size.
     """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(6, int(size // 16 >> 21).bit_length() + 1)  # about a region's shingle for 16 bytes of text
+    bits = max(6, int(size // 6 >> 21).bit_length())  # about a shingle for 6 bytes of text
     shift = U64(32 - bits)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +84,6 @@ def heavy_shingles(rows: DataFrame, k: int, heavy: int) -> tuple[int, np.ndarray
         for batch in batches:
             for _, _, b in chunks(batch.column(0)):
                 h, _ = shingle_sets(b, k)
-                h = h[h < REGION]
                 parts.append(h)
                 held += len(h)
                 if held > 1 << 21:
@@ -176,6 +172,8 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[int, np.ndarray, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift, keys, steps = sent.value
+        some = np.zeros(1 << 23, bool)  # rules most other shingles out without a search
+        some[(keys & U64(len(some) - 1)).astype(np.int64)] = True
         for batch in batches:
             for lo, hi, b in chunks(batch.column(1)):
                 h, first = shingle_sets(b, k)
@@ -189,13 +187,13 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[int, np.ndarray, n
                 for j, salt in enumerate(salts):
                     if len(full):
                         anchors[full, j] = np.minimum.reduceat(mix(h ^ salt), first[full]).view(np.int64)
-                place = (h >= REGION).astype(np.int64)
+                place = np.zeros(len(h), np.int64)
                 if len(keys) and len(h):
-                    low = np.flatnonzero(place == 0)
-                    cut = h[low] >> U64(shift)
-                    at = np.minimum(np.searchsorted(keys, cut), len(keys) - 1)
-                    known = keys[at] == cut
-                    place[low[known]] = 2 + steps[at[known]].astype(np.int64)
+                    cut = h >> U64(shift)
+                    maybe = np.flatnonzero(some[(cut & U64(len(some) - 1)).astype(np.int64)])
+                    at = np.minimum(np.searchsorted(keys, cut[maybe]), len(keys) - 1)
+                    known = keys[at] == cut[maybe]
+                    place[maybe[known]] = 1 + steps[at[known]].astype(np.int64)
                 ordered = h[np.argsort(np.repeat(np.arange(hi - lo) << 8, n) + place, kind="stable")]
                 prefix = [ordered[x : x + m].tobytes() for x, m in zip(first[:-1].tolist(), np.where(n > 0, n - needed(n, percent) + 1, 0).tolist(), strict=True)]
                 flat = pa.array(anchors.reshape(-1))
@@ -471,19 +469,21 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     undecided = met.join(links.hint("merge"), (F.least("a", "b") == F.least("la", "lb")) & (F.greatest("a", "b") == F.greatest("la", "lb")), "left_anti")
     undecided = undecided.join(several.select(F.col("g").alias("x")).hint("merge"), F.col("ga") == F.col("x"), "left").join(several.select(F.col("g").alias("y")).hint("merge"), F.col("gb") == F.col("y"), "left")
     undecided = stored(undecided.where("x is not null or y is not null").select("ga", "gb"), "undecided")
-    led = near.select(F.greatest("a", "b").alias("m"), F.least("a", "b").alias("l"), "differ")
-    members = grouped.join(led.hint("merge"), (F.col("node") == F.col("m")) & (F.col("group") == F.col("l")), "left")
-    members = members.select("node", "group", "n", "bits", F.when(F.col("node") == F.col("group"), 0).otherwise(F.col("differ")).alias("differ"))
-    wide = wider_pairs(undecided, members, own, percent)
-    more_links = linked(plausible(wide, own, percent), rows, k, percent)
-    more = linked_pairs.unionByName(more_links)
+    more, rest = linked_pairs, ()
+    if not undecided.isEmpty():
+        led = near.select(F.greatest("a", "b").alias("m"), F.least("a", "b").alias("l"), "differ")
+        members = grouped.join(led.hint("merge"), (F.col("node") == F.col("m")) & (F.col("group") == F.col("l")), "left")
+        members = members.select("node", "group", "n", "bits", F.when(F.col("node") == F.col("group"), 0).otherwise(F.col("differ")).alias("differ"))
+        wide = wider_pairs(undecided, members, own, percent)
+        rest = (wide, linked(plausible(wide, own, percent), rows, k, percent))
+        more = linked_pairs.unionByName(rest[1])
     named = lambda side: groups.select(F.col("node").alias(f"{side}_"), F.col("component").alias(f"{side}_group"))
     across = more.join(named("a"), F.col("a") == F.col("a_"), "left").join(named("b"), F.col("b") == F.col("b_"), "left")
     wider = components(across.select(F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b")))
     both = own.select("node").distinct().join(groups.withColumnRenamed("node", "g"), F.col("node") == F.col("g"), "left").select("node", F.coalesce("component", "node").alias("near"))
     both = both.join(wider.withColumnRenamed("node", "w"), F.col("near") == F.col("w"), "left").select("node", F.coalesce("component", "near").alias("component_id"))
     names = stored(copies.join(both, "node", "left").select(F.col("digest").alias("d"), "component_id"), "named")
-    dropped(copies, own, least, near, groups, met, linked_pairs, several, undecided, wide, more_links, wider)
+    dropped(copies, own, least, near, groups, met, linked_pairs, several, undecided, *rest, wider)
     members = sets.select("doc_id", "n_shingles", "digest").join(names, F.col("digest") == F.col("d"), "left")
     out = members.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     out.read_from = (sets, names)

@@ -95,3 +95,35 @@ SECRETS = {
 def secrets(text: str | None) -> list[str]:
     found = [(m.start(), r, k, m.end()) for r, (k, (p, g, n)) in enumerate(SECRETS.items()) for m in p.finditer(text or "") if len(m[g]) >= n]
     return [f"{k}:{a}:{b}" for a, _, k, b in sorted(found)]
+
+
+FORMS = {
+    "named": (re.compile(r"""(?ai)\b(?:pwd|passphrase|credentials?|bearer|(?:private|access|account)_?key|auth(?:orization)?)["']?\x20*[:=]?\x20*["']?([A-Za-z0-9+/_.=-]{8,})"""), 1, 8),
+    "url": (re.compile(r"(?a)[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s/:@]{1,200}:([^\s/@]{6,200})(?=@)"), 1, 6),
+    "block": (re.compile(r"(?a)-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]+"), 0, 64),
+    "mixed": (re.compile(r"[A-Za-z0-9+/_=-]{24,}"), 0, 24),
+}
+
+
+def live_spans(rows: list[tuple], max_owners: int = 2, max_repos: int = 2, min_live: int = 16) -> list[tuple[str, int, int]]:
+    """(doc_id, text, owner, repo) -> each row's spans, live ones and examples, from counts over all rows."""
+    found, holders = [], defaultdict(set)
+    for _, text, owner, repo in rows:
+        own = {}
+        for k, (p, g, n) in {**SECRETS, **FORMS}.items():
+            for m in p.finditer(text or ""):
+                v = m[g]
+                if len(v) < n or (k == "mixed" and not all(re.search(x, v) for x in ("[0-9]", "[A-Z]", "[a-z]"))):
+                    continue
+                holders[v].add((owner or "", repo or ""))
+                lively = k in ("url", "block", "access") or (len(v) >= min_live and re.search("[0-9]", v) and re.search("[A-Za-z]", v))
+                own.setdefault((m.end() - len(v), m.end()), [v, False])[1] |= bool(lively)
+        found.append(own)
+    out = []
+    for (_, text, _, _), own in zip(rows, found, strict=True):
+        example = {at for at, (v, _) in own.items() if len({o for o, _ in holders[v]}) > max_owners or len(holders[v]) > max_repos}
+        live = {at for at, (_, lively) in own.items() if lively} - example
+        base = [(m.start(), r, k, m.end()) for r, (k, (p, g, n)) in enumerate(SECRETS.items()) for m in p.finditer(text or "") if len(m[g]) >= n]
+        spans = sorted(base + [(a, 9, "live", b) for a, b in live])
+        out.append((",".join(f"{k}:{a}:{b}" for a, _, k, b in spans), len(live), len(example)))
+    return out

@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.common import dropped, full_text, lowered, stored
 
-#: Words: digits, letters of either case and everything beyond ASCII; they are lower-cased one by one.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Words: digits, letters of either case and everything beyond ASCII; they are lower-cased one by one. What is no part of
+#: a word is listed character by character, which the pattern engine looks up in one table, unlike ranges.
+WORD = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 KEY = ["doc_id", "_text_hash"]
 
 
@@ -56,17 +57,20 @@ def places(split: DataFrame, keep: list[str], size: int, gram: int, shorter: lis
     shorter: lengths of shorter windows, each a place of its own at every word. mark: one more row for each row, at -1.
     """
     gram, n, start = min(gram, size), F.size("words"), F.col("start")
+    # the hashes of all runs once a row; what is evaluated for each place then stays small enough to be compiled
+    runs = F.when(n >= gram, F.transform(F.sequence(F.lit(0), n - gram), lambda i: _run(i, gram))).otherwise(F.array().cast("array<long>"))
     # one generator for all lengths: only what passes the filter is ever put together as a row
     kinds = 1 + len(shorter)
-    at = split.select("*", F.explode(F.sequence(F.lit(-1), n * kinds - 1)).alias("_e"))
+    at = split.select(*keep, "words", "_h", runs.alias("_g")).select("*", F.explode(F.sequence(F.lit(-1), n * kinds - 1)).alias("_e"))
     kind = F.pmod("_e", F.lit(kinds)) if shorter else F.lit(0)
-    at = at.select(*keep, "words", "_h", F.floor(F.col("_e") / kinds).cast("int").alias("start"), F.when(F.col("_e") < 0, 0).otherwise(kind).alias("_kind"))
-    least = lambda runs: F.least(*runs) if len(runs) > 1 else runs[0]
-    runs = [_run(start + j, gram) for j in range(size - gram + 1)]
+    at = at.select(*keep, "words", "_h", "_g", F.floor(F.col("_e") / kinds).cast("int").alias("start") if shorter else F.col("_e").alias("start"), F.when(F.col("_e") < 0, 0).otherwise(kind).alias("_kind"))
+    own = [F.get("_g", start + j) for j in range(size - gram + 1)]
+    least = F.least(*own) if len(own) > 1 else own[0]
     first = F.lit(True)
-    if len(runs) > 1:  # the least run is the newest one, or the one before has just left
-        first = (start == 0) | (runs[-1] <= least(runs[:-1])) | (_run(start - 1, gram) < least(runs[:-1]))
-    some, length, value = (F.col("_kind") == 0) & (start >= 0) & (start + size <= n) & first, F.lit(size), least(runs)
+    if len(own) > 1:  # the least run is the newest one, or the one before has just left
+        rest = F.least(*own[:-1]) if len(own) > 2 else own[0]
+        first = (start == 0) | (own[-1] <= rest) | (F.get("_g", start - 1) < rest)
+    some, length, value = (F.col("_kind") == 0) & (start >= 0) & (start + size <= n) & first, F.lit(size), least
     for i, k in enumerate(shorter, 1):
         own = F.col("_kind") == i
         some = some | (own & (start + k <= n))

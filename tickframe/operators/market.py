@@ -192,8 +192,8 @@ def strike_scale(sessions: DataFrame, key: str = "ticker", step: float = 1.5, wi
     moved = F.array_distinct(F.transform("_strikes", lambda x: F.bround(x / F.col("ratio"), 3)))
     today = F.transform("strikes", lambda x: F.bround(x, 3))
     out = s.where("_spot is not null").withColumn("ratio", ratio).where("ratio is not null")
-    share = F.size(F.array_intersect(moved, today)) / F.size("_strikes")
-    return out.select(key, "day", "ratio", "unread_since", share.alias("confirmed"), (share >= trip).alias("trips"))
+    share = F.try_divide(F.size(F.array_intersect(moved, today)), F.size("_strikes"))  # without strikes yesterday nothing confirms
+    return out.select(key, "day", "ratio", "unread_since", share.alias("confirmed"), F.coalesce(share >= trip, F.lit(False)).alias("trips"))
 
 
 def split_consistent(units_ratio: Column, note_ratio: Column) -> Column:

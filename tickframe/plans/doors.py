@@ -31,7 +31,7 @@ def named_history(t: Tables):
     return V.NAMED["history"].run(t.spark, {"slots": t.slots()})
 
 
-@query("named_lake", "SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS files, CAST(sum(o_orderkey + 1) AS BIGINT) AS bytes FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1", dates="day")
+@query("named_lake", "SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS files, CAST(sum(o_orderkey + 1) AS BIGINT) AS bytes FROM orders GROUP BY 1", dates="day")
 def named_lake(t: Tables):
     return V.NAMED["lake"].run(t.spark, {"files": files(t)})
 
@@ -46,9 +46,9 @@ def load_bars_split(t: Tables):
     return V.load_bars(V.Store(bars=t.bars(), actions=t.actions()), "1998-02-01", "1998-03-15", adjust="split", as_of="1999-01-31").select("instrument_id", "session", "close")
 
 
-@query("contract_life", "SELECT count(*) AS n, count(DISTINCT symbol) AS spellings FROM (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'A' || (l_suppkey % 7) ELSE 'B' || l_suppkey END AS symbol FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '1996-06-01') WHERE symbol IN (SELECT id_value FROM master WHERE instrument_id IN (SELECT instrument_id FROM master WHERE id_value = 'A3'))")
+@query("contract_life", "SELECT symbol, day FROM (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'A' || (l_suppkey % 7) ELSE 'B' || l_suppkey END AS symbol, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '1996-06-01') WHERE symbol IN (SELECT id_value FROM master WHERE instrument_id IN (SELECT instrument_id FROM master WHERE id_value = 'A3'))", dates="day")
 def contract_life(t: Tables):
-    return V.contract_life(symbols(t), t.master(), "A3", "1996-06-01").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("spellings"))
+    return V.contract_life(symbols(t), t.master(), "A3", "1996-06-01").select("symbol", "day")
 
 
 @query(
@@ -87,27 +87,25 @@ def held_findings(t: Tables):
     return V.findings([f, f]).select("symbol", "observed_on", "event")
 
 
-@query("expiry_coding", "SELECT count(*) AS n, count(*) FILTER (WHERE l_linenumber % 2 = 0) AS coded FROM lineitem")
+@query("expiry_coding", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_shipdate AS DATE) END AS expiry FROM lineitem", dates="expiry")
 def expiry_coding(t: Tables):
     code = F.when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "yyMMdd")).otherwise(F.date_format("l_shipdate", "yyyyMMdd"))
     s = F.concat(F.lit("SPY   "), code, F.lit("C00650000"))
-    li = t.table("lineitem")
-    return li.agg(F.count(F.lit(1)).alias("n"), F.count_if(M.occ_expiry(s) == F.to_date("l_shipdate")).alias("coded"))
+    return t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", M.occ_expiry(s).alias("expiry"))
 
 
-@query("strict_dates", "SELECT count(*) FILTER (WHERE o_orderkey % 2 = 0) AS dates, count(*) FILTER (WHERE o_orderkey % 2 = 1) AS refused FROM orders")
+@query("strict_dates", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders", dates="day")
 def strict_dates(t: Tables):
     ts = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(mins=(F.col("o_orderkey") % 2).cast("int"))
-    d = P.strict_date(ts)
-    return t.table("orders").agg(F.count_if(d.isNotNull()).alias("dates"), F.count_if(d.isNull()).alias("refused"))
+    return t.table("orders").select("o_orderkey", P.strict_date(ts).cast("date").alias("day"))
 
 
-@query("close_guard", "SELECT s.event_id % 8 <> 0 AS in_time, count(*) AS n FROM slots s JOIN calendar c USING (day) WHERE s.slot = c.close_at GROUP BY 1")
+@query("close_guard", "SELECT s.event_id, s.event_id % 8 <> 0 AS in_time FROM slots s JOIN calendar c USING (day) WHERE s.slot = c.close_at")
 def close_guard(t: Tables):
     j = t.slots().join(t.calendar().select("day", "close_at"), "day").where("slot = close_at")
     rows = j.select("day", "event_id", F.lit("spot_close").alias("close_tag"), (F.col("close_at") + F.make_dt_interval(mins=F.when(F.col("event_id") % 8 == 0, 6).otherwise(5))).alias("fetched_at"))
     ok, late = live.close_guard(rows, t.calendar())
-    return ok.select(F.lit(True).alias("in_time")).unionByName(late.select(F.lit(False).alias("in_time"))).groupBy("in_time").agg(F.count(F.lit(1)).alias("n"))
+    return ok.select("event_id", F.lit(True).alias("in_time")).unionByName(late.select("event_id", F.lit(False).alias("in_time")))
 
 
 @query(
@@ -127,12 +125,12 @@ def import_window(t: Tables):
     return sealed.sessions_before(t.calendar(), first, 7)
 
 
-@query("drifted_union", "SELECT count(*) AS n, CAST(sum(coalesce(x, 0)) AS BIGINT) AS total, count(y) AS with_y FROM (SELECT event_id AS x, CASE WHEN event_id % 2 = 0 THEN 1 END AS y FROM events)")
+@query("drifted_union", "SELECT event_id::DOUBLE AS x, CASE WHEN event_id % 2 = 0 THEN 1 END AS y FROM events")
 def drifted_union(t: Tables):
     e = t.table("events")
     a = e.where("event_id % 2 = 0").select(F.col("event_id").cast("int").alias("x"), F.lit(1).alias("y"))
     b = e.where("event_id % 2 = 1").select(F.col("event_id").cast("double").alias("x"))
-    return sealed.union_by_name([a, b]).agg(F.count(F.lit(1)).alias("n"), F.sum("x").cast("long").alias("total"), F.count("y").alias("with_y"))
+    return sealed.union_by_name([a, b]).select("x", "y")
 
 
 @query("upload_lags", "SELECT count(*) AS segments, max(event_id % 200) AS largest, count(*) FILTER (WHERE event_id % 200 > 90) AS over FROM events")

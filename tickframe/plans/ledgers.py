@@ -28,18 +28,17 @@ def quarantined_count(t: Tables):
     return L.quarantine_fold(t.ledger()).where("withheld").agg(F.count(F.lit(1)).alias("withheld"))
 
 
-_NEXT = "SELECT event_type || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS partition, 'c' || (user_id % 3) AS check_name, CASE WHEN min(value) > 1 THEN 'clean' ELSE 'quarantined' END AS verdict FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2"
+_NEXT = "SELECT event_type || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS partition, 'c' || (user_id % 3) AS check_name, CASE WHEN min(value) > 1 THEN 'clean' ELSE 'quarantined' END AS verdict FROM events GROUP BY 1, 2"
 
 
 @query(
     "verdict_transitions",
-    f"""WITH cur AS (SELECT partition, check_name, arg_max(verdict, seq) AS verdict, CASE WHEN arg_max(seq, seq) % 4 = 0 THEN 'person' ELSE 'battery' END AS provenance FROM ledger WHERE seq % 5 = 0 GROUP BY 1, 2), n AS ({_NEXT})
+    f"""WITH cur AS (SELECT partition, check_name, arg_max(verdict, seq) AS verdict, CASE WHEN arg_max(seq, seq) % 4 = 0 THEN 'person' ELSE 'battery' END AS provenance FROM ledger GROUP BY 1, 2), n AS ({_NEXT})
         SELECT n.partition, n.check_name, n.verdict, c.verdict AS was FROM n LEFT JOIN cur c USING (partition, check_name) WHERE CASE WHEN c.verdict IS NULL THEN n.verdict <> 'clean' ELSE n.verdict <> c.verdict AND c.provenance <> 'person' END""",
 )
 def verdict_transitions(t: Tables):
-    cur = L.latest(t.ledger().where("seq % 5 = 0").withColumn("provenance", F.when(F.col("seq") % 4 == 0, "person").otherwise("battery")).withColumn("s", F.col("seq")), ["partition", "check_name"], "seq")
-    e = t.table("events").where("event_id % 3 = 0")
-    found = e.groupBy(F.concat_ws("/", "event_type", F.to_date("ts").cast("string")).alias("partition"), F.concat(F.lit("c"), F.col("user_id") % 3).alias("check_name")).agg(F.when(F.min("value") > 1, "clean").otherwise("quarantined").alias("verdict"))
+    cur = L.latest(t.ledger().withColumn("provenance", F.when(F.col("seq") % 4 == 0, "person").otherwise("battery")).withColumn("s", F.col("seq")), ["partition", "check_name"], "seq")
+    found = t.table("events").groupBy(F.concat_ws("/", "event_type", F.to_date("ts").cast("string")).alias("partition"), F.concat(F.lit("c"), F.col("user_id") % 3).alias("check_name")).agg(F.when(F.min("value") > 1, "clean").otherwise("quarantined").alias("verdict"))
     return L.transitions(cur, found, ["partition", "check_name"])
 
 
@@ -108,10 +107,9 @@ def ledger_divergence(t: Tables):
 
 @query(
     "upload_owed",
-    """WITH m AS (SELECT o_orderkey AS seq, o_custkey AS partition, o_custkey % 50 AS parent, CASE WHEN o_custkey < 50 THEN 'partition' ELSE 'segment' END AS kind FROM orders WHERE o_custkey % 50 < 40 OR o_custkey > 50)
-       SELECT kind, count(*) AS n FROM m WHERE seq >= 5000 AND (kind = 'partition' OR NOT EXISTS (SELECT 1 FROM m p WHERE p.kind = 'partition' AND p.partition = m.parent)) GROUP BY 1""",
+    """WITH m AS (SELECT o_orderkey AS seq, o_custkey AS partition, o_custkey % 50 AS parent, CASE WHEN o_custkey < 50 THEN 'partition' ELSE 'segment' END AS kind FROM orders)
+       SELECT seq, kind FROM m WHERE seq >= 5000 AND (kind = 'partition' OR NOT EXISTS (SELECT 1 FROM m p WHERE p.kind = 'partition' AND p.partition = m.parent))""",
 )
 def upload_owed(t: Tables):
-    o = t.table("orders").where("o_custkey % 50 < 40 or o_custkey > 50")
-    m = o.select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("partition"), (F.col("o_custkey") % 50).alias("parent"), F.when(F.col("o_custkey") < 50, "partition").otherwise("segment").alias("kind"))
-    return L.upload_owed(m, 5000).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    m = t.table("orders").select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("partition"), (F.col("o_custkey") % 50).alias("parent"), F.when(F.col("o_custkey") < 50, "partition").otherwise("segment").alias("kind"))
+    return L.upload_owed(m, 5000).select("seq", "kind")

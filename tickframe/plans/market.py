@@ -86,9 +86,9 @@ def settlement_view(t: Tables):
 
 
 _OI = """ros AS (SELECT 'T' || (l_suppkey % 5) AS ticker, CAST(date_trunc('month', l_shipdate) AS DATE) AS session, l_partkey % 400 AS contract, CAST(max(l_quantity) AS BIGINT) AS open_interest, CAST(sum(l_quantity) AS BIGINT) AS volume,
-         CAST(date_trunc('month', l_shipdate) AS DATE) + 7 * CAST(l_partkey % 400 % 8 AS INTEGER) AS expiration FROM lineitem WHERE l_linenumber < 4 GROUP BY 1, 2, 3, 6),
+         CAST(date_trunc('month', l_shipdate) AS DATE) + 7 * CAST(l_partkey % 400 % 8 AS INTEGER) AS expiration FROM lineitem GROUP BY 1, 2, 3, 6),
          lat AS (SELECT 'T' || (l_suppkey % 5) AS ticker, CAST(date_trunc('month', l_shipdate) AS DATE) AS session, cy AS cycle, l_partkey % 400 AS contract, CAST(max(l_quantity + CASE WHEN cy >= 2 OR l_partkey % 10 < 2 THEN 1 ELSE 0 END) AS BIGINT) AS open_interest
-         FROM lineitem, (SELECT unnest([1, 2, 3]) AS cy) WHERE l_linenumber < 4 AND month(l_shipdate) <> 6 GROUP BY 1, 2, 3, 4)"""
+         FROM lineitem, (SELECT unnest([1, 2, 3]) AS cy) WHERE month(l_shipdate) <> 6 GROUP BY 1, 2, 3, 4)"""
 
 
 @query(
@@ -104,7 +104,7 @@ _OI = """ros AS (SELECT 'T' || (l_suppkey % 5) AS ticker, CAST(date_trunc('month
     dates="session",
 )
 def oi_view(t: Tables):
-    li = t.table("lineitem").where("l_linenumber < 4").select(F.concat(F.lit("T"), F.col("l_suppkey") % 5).alias("ticker"), F.to_date(F.date_trunc("month", "l_shipdate")).alias("session"), (F.col("l_partkey") % 400).alias("contract"), "l_partkey", "l_quantity")
+    li = t.table("lineitem").select(F.concat(F.lit("T"), F.col("l_suppkey") % 5).alias("ticker"), F.to_date(F.date_trunc("month", "l_shipdate")).alias("session"), (F.col("l_partkey") % 400).alias("contract"), "l_partkey", "l_quantity")
     roster = li.groupBy("ticker", "session", "contract").agg(F.max("l_quantity").cast("long").alias("open_interest"), F.sum("l_quantity").cast("long").alias("volume")).withColumn("expiration", F.date_add("session", (7 * (F.col("contract") % 8)).cast("int")))
     later = li.where(F.month("session") != 6).select("*", F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("cycle"))
     later = later.groupBy("ticker", "session", "cycle", "contract").agg(F.max(F.col("l_quantity") + F.when((F.col("cycle") >= 2) | (F.col("l_partkey") % 10 < 2), 1).otherwise(0)).cast("long").alias("open_interest"))
@@ -168,28 +168,28 @@ def missing_close(t: Tables):
 
 
 _STRIKES = """ses AS (SELECT 'T' || (l_suppkey % 5) AS ticker, CAST(date_trunc('week', l_shipdate) AS DATE) AS day, floor((epoch(date_trunc('week', l_shipdate)) / 604800))::BIGINT AS idx,
-              CASE WHEN month(date_trunc('week', l_shipdate)) % 2 = 0 THEN 50.0 ELSE 100.0 END AS spot, list_sort(list(DISTINCT (l_partkey % 40) * CASE WHEN month(date_trunc('week', l_shipdate)) % 2 = 0 THEN 2.5::DOUBLE ELSE 5.0::DOUBLE END)) AS strikes FROM lineitem WHERE l_linenumber <> 3 GROUP BY 1, 2, 3, 4)"""
+              CASE WHEN month(date_trunc('week', l_shipdate)) % 2 = 0 THEN 50.0 ELSE 100.0 END AS spot, list_sort(coalesce(list(DISTINCT (l_partkey % 40) * CASE WHEN month(date_trunc('week', l_shipdate)) % 2 = 0 THEN 2.5::DOUBLE ELSE 5.0::DOUBLE END) FILTER (WHERE l_linenumber <> 3), [])) AS strikes FROM lineitem GROUP BY 1, 2, 3, 4)"""
 
 
 @query(
     "strike_scale",
     f"""WITH {_STRIKES}, l AS (SELECT *, lag(spot) OVER w AS ps, lag(strikes) OVER w AS pk, idx - lag(idx) OVER w - 1 AS unread_since FROM ses WINDOW w AS (PARTITION BY ticker ORDER BY day)),
         r AS (SELECT *, CASE WHEN ps / spot >= 1.5 THEN round(ps / spot) WHEN ps / spot <= 1 / 1.5 THEN 1 / round(spot / ps) END AS ratio FROM l WHERE ps IS NOT NULL)
-        SELECT ticker, day, ratio::DOUBLE AS ratio, unread_since, len(list_intersect(list_transform(pk, lambda x: x / ratio), strikes)) / len(pk) AS confirmed, len(list_intersect(list_transform(pk, lambda x: x / ratio), strikes)) / len(pk) >= 0.5 AS trips FROM r WHERE ratio IS NOT NULL""",
+        SELECT ticker, day, ratio::DOUBLE AS ratio, unread_since, len(list_intersect(list_transform(pk, lambda x: x / ratio), strikes)) / nullif(len(pk), 0) AS confirmed, coalesce(len(list_intersect(list_transform(pk, lambda x: x / ratio), strikes)) / nullif(len(pk), 0) >= 0.5, false) AS trips FROM r WHERE ratio IS NOT NULL""",
     dates="day",
 )
 def strike_scale(t: Tables):
     week = F.date_trunc("week", "l_shipdate")
     even = F.month("day") % 2 == 0
-    li = t.table("lineitem").where("l_linenumber <> 3").select(F.concat(F.lit("T"), F.col("l_suppkey") % 5).alias("ticker"), F.to_date(week).alias("day"), "l_partkey")
-    k = F.col("l_partkey") % 40 * F.when(even, 2.5).otherwise(5.0)
+    li = t.table("lineitem").select(F.concat(F.lit("T"), F.col("l_suppkey") % 5).alias("ticker"), F.to_date(week).alias("day"), "l_partkey", "l_linenumber")
+    k = F.when(F.col("l_linenumber") != 3, F.col("l_partkey") % 40 * F.when(even, 2.5).otherwise(5.0))  # some rows have no strike
     idx = F.floor(F.unix_timestamp(F.col("day").cast("timestamp")) / 604800)
     s = li.groupBy("ticker", "day").agg(F.array_sort(F.collect_set(k)).alias("strikes")).select("ticker", "day", idx.alias("idx"), F.when(even, 50.0).otherwise(100.0).alias("spot"), "strikes")
     return M.strike_scale(s)
 
 
 _ROOTS = """roots AS (SELECT 'T' || (p_size % 10) AS ticker, p_size AS idx, DATE '2000-01-01' + p_size AS day, 'R' || (p_size % 10) || (p_size // 17) || CASE WHEN p_brand = 'Brand#7' THEN 'X' ELSE '' END AS root, p_brand = 'Brand#7' AS non_standard,
-            CASE WHEN p_brand = 'Brand#7' THEN 200.0 ELSE 100.0 END AS units FROM part WHERE p_brand IN ('Brand#7', 'Brand#9') GROUP BY ALL)"""
+            CASE WHEN p_brand = 'Brand#7' THEN 200.0 ELSE 100.0 END AS units FROM part GROUP BY ALL)"""
 
 
 @query(
@@ -202,7 +202,7 @@ _ROOTS = """roots AS (SELECT 'T' || (p_size % 10) AS ticker, p_size AS idx, DATE
 )
 def split_detection(t: Tables):
     odd = F.col("p_brand") == "Brand#7"
-    p = t.table("part").where("p_brand in ('Brand#7', 'Brand#9')")
+    p = t.table("part")
     ticker = F.concat(F.lit("T"), F.col("p_size") % 10)
     root = F.concat(F.lit("R"), F.col("p_size") % 10, F.floor(F.col("p_size") / 17), F.when(odd, "X").otherwise(""))
     units = F.when(odd, 200.0).otherwise(100.0)
@@ -273,7 +273,7 @@ def backfill_census(t: Tables):
     return M.census(t.spans(), t.calendar(), landed, ["1d", "1m"])
 
 
-@query("latest_action_view", "SELECT type, count(*) AS n, CAST(sum(seq) AS BIGINT) AS seqs FROM (SELECT instrument_id, ex_date, type, max(seq) AS seq FROM actions WHERE ex_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31' GROUP BY 1, 2, 3) GROUP BY 1")
+@query("latest_action_view", "SELECT instrument_id, ex_date, type, max(seq) AS seq, arg_max(CASE type WHEN 'split' THEN split_ratio ELSE cash_amount END, seq) AS amount FROM actions GROUP BY 1, 2, 3", dates="ex_date")
 def latest_action_view(t: Tables):
-    led = L.latest(t.actions().where("ex_date between date '1996-01-01' and date '1999-12-31'"), ["instrument_id", "ex_date", "type"])
-    return led.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seqs"))
+    led = L.latest(t.actions(), ["instrument_id", "ex_date", "type"])
+    return led.select("instrument_id", "ex_date", "type", "seq", F.when(F.col("type") == "split", F.col("split_ratio")).otherwise(F.col("cash_amount")).alias("amount"))

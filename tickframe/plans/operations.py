@@ -58,22 +58,23 @@ def cost_projection(t: Tables):
 @query(
     "cost_per_session",
     """WITH u AS (SELECT CAST(date_trunc('month', day) AS DATE) AS month, CAST(sum(cents) AS BIGINT) AS usage_cents FROM costs WHERE line_type = 'Usage' GROUP BY 1),
-       s AS (SELECT CAST(date_trunc('month', cycle) AS DATE) AS month, count(DISTINCT cycle) AS sessions FROM chains WHERE ticker = 'T1' AND month(cycle) <> 3 GROUP BY 1)
+       s AS (SELECT CAST(date_trunc('month', cycle) AS DATE) AS month, count(DISTINCT CASE WHEN month(cycle) <> 3 THEN cycle END) AS sessions FROM chains GROUP BY 1)
        SELECT month, usage_cents, coalesce(sessions, 0) AS sessions, CASE WHEN sessions > 0 THEN CAST(floor(usage_cents / sessions) AS BIGINT) END AS cents_per_session, CASE WHEN sessions > 0 THEN 'ok' ELSE 'no_sessions' END AS status FROM u LEFT JOIN s USING (month)""",
     dates="month",
 )
 def cost_per_session(t: Tables):
-    return K.per_session(t.costs(), t.chains().where((F.col("ticker") == "T1") & (F.month("cycle") != 3)).select(F.col("cycle").alias("day")))
+    """Cycles of March have no day of their own here, so that month has no sessions."""
+    return K.per_session(t.costs(), t.chains().select(F.when(F.month("cycle") != 3, F.col("cycle")).alias("day")))
 
 
 @query(
     "cost_trend",
-    """WITH d AS (SELECT day, CAST(sum(cents) AS BIGINT) AS cents FROM costs WHERE line_type = 'Usage' AND resource % 7 = 0 GROUP BY 1), e AS (SELECT max(day) AS e FROM d)
+    """WITH d AS (SELECT day, CAST(sum(cents) AS BIGINT) AS cents FROM costs WHERE line_type = 'Usage' GROUP BY 1), e AS (SELECT max(day) AS e FROM d)
        SELECT x.day, d.cents, x.day = x.e AS partial FROM (SELECT CAST(unnest(generate_series(e - 29, e, INTERVAL 1 DAY)) AS DATE) AS day, e FROM e) x LEFT JOIN d ON d.day = x.day""",
     dates="day",
 )
 def cost_trend(t: Tables):
-    return K.trend(t.costs().where("resource % 7 = 0"))
+    return K.trend(t.costs())
 
 
 @query("bucket_growth", "WITH d AS (SELECT resource, day, CAST(sum(cents) AS BIGINT) AS v FROM costs GROUP BY 1, 2) SELECT resource, arg_min(v, day) AS first, arg_max(v, day) AS last, min(day) AS since, arg_max(v, day) - arg_min(v, day) AS growth FROM d GROUP BY 1", dates="since")
@@ -81,11 +82,11 @@ def bucket_growth(t: Tables):
     return K.sizes(t.costs())
 
 
-_FILES = "d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(o_orderkey + 1) AS BIGINT) AS bytes FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1)"
+_FILES = "d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(o_orderkey + 1) AS BIGINT) AS bytes FROM orders GROUP BY 1)"
 
 
 def files(t: Tables):
-    return t.table("orders").where("o_custkey % 3 = 0").select(F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") + 1).alias("length"))
+    return t.table("orders").select(F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") + 1).alias("length"))
 
 
 @query("storage_growth", f"WITH {_FILES} SELECT day, bytes, max(bytes) OVER w AS peak, CAST(sum(bytes) OVER w AS BIGINT) AS in_window, count(*) OVER w AS grown_days FROM d WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)", dates="day")
@@ -127,11 +128,11 @@ def nightly_digest(t: Tables):
 
 @query(
     "restore_rotation",
-    """WITH p AS (SELECT p_partkey, CAST(('0x' || substring(sha256('part/' || p_partkey), 1, 16))::UBIGINT % 52 AS INTEGER) AS slot FROM part WHERE p_partkey % 40 = 1), f AS (SELECT *, ((slot - 17) % 52 + 52) % 52 AS far FROM p)
+    """WITH p AS (SELECT p_partkey, CAST(('0x' || substring(sha256('part/' || p_partkey), 1, 16))::UBIGINT % 52 AS INTEGER) AS slot FROM part), f AS (SELECT *, ((slot - 17) % 52 + 52) % 52 AS far FROM p)
        SELECT p_partkey, slot FROM f WHERE far = (SELECT min(far) FROM f)""",
 )
 def restore_rotation(t: Tables):
-    pairs = t.table("part").where("p_partkey % 40 = 1").select("p_partkey", F.concat(F.lit("part/"), "p_partkey").alias("path"))
+    pairs = t.table("part").select("p_partkey", F.concat(F.lit("part/"), "p_partkey").alias("path"))
     return K.rotation(pairs, 17).select("p_partkey", "slot")
 
 

@@ -103,9 +103,10 @@ _FIELDS = "error_class fetch_end_ts row_kind value".split()
 _PROFILE = "prof AS (SELECT ticker, day, count(*) AS rows, 'error_class' AS field, count(error_class) AS present FROM slots GROUP BY 1, 2" + "".join(f" UNION ALL SELECT ticker, day, count(*), '{f}', count({f}) FROM slots GROUP BY 1, 2" for f in _FIELDS[1:]) + ")"
 
 
-def thin(t: Tables):
-    """Slots of few rows a day, so that some fields are wholly absent on some days."""
-    return t.slots().where("event_id % 9 = 0")
+def patchy(t: Tables):
+    """All slots, each field empty on one day in five, another for each ticker and field."""
+    empty = lambda i: (F.day("day") + F.length("ticker") + i) % 5 == 0
+    return t.slots().withColumns({f: F.when(~empty(i), F.col(f)) for i, f in enumerate(_FIELDS)})
 
 
 @query("null_profile", f"WITH {_PROFILE} SELECT * FROM prof", dates="day")
@@ -113,12 +114,12 @@ def null_profile(t: Tables):
     return Q.null_profile(t.slots(), ["ticker", "day"], _FIELDS)
 
 
-_THIN = _PROFILE.replace("FROM slots", "FROM slots WHERE event_id % 9 = 0")
+_PATCHY = "patchy AS (SELECT * REPLACE (" + ", ".join(f"CASE WHEN (day(day) + length(ticker) + {i}) % 5 <> 0 THEN {f} END AS {f}" for i, f in enumerate(_FIELDS)) + ") FROM slots), " + _PROFILE.replace("FROM slots", "FROM patchy")
 
 
-@query("field_drift", f"WITH {_THIN}, l AS (SELECT *, lag(present) OVER (PARTITION BY ticker, field ORDER BY day) AS was FROM prof) SELECT ticker, day, field FROM l WHERE present = 0 AND was > 0", dates="day")
+@query("field_drift", f"WITH {_PATCHY}, l AS (SELECT *, lag(present) OVER (PARTITION BY ticker, field ORDER BY day) AS was FROM prof) SELECT ticker, day, field FROM l WHERE present = 0 AND was > 0", dates="day")
 def field_drift(t: Tables):
-    return Q.drift(Q.null_profile(thin(t), ["ticker", "day"], _FIELDS), ["ticker"])
+    return Q.drift(Q.null_profile(patchy(t), ["ticker", "day"], _FIELDS), ["ticker"])
 
 
 @query(
@@ -147,7 +148,7 @@ def fingerprint_diff(t: Tables):
     return Q.fingerprint_diff(one("p_partkey % 2 = 0"), one("p_partkey % 5 <> 0")).withColumnRenamed("column", "column_name")
 
 
-@query("lossless_widening", "SELECT count(*) FILTER (WHERE l_quantity <> floor(l_quantity)) AS quantity_lost, count(*) FILTER (WHERE l_extendedprice <> floor(l_extendedprice)) AS price_lost FROM lineitem")
+@query("lossless_widening", "SELECT l_suppkey, count(*) FILTER (WHERE l_quantity <> floor(l_quantity)) AS quantity_lost, count(*) FILTER (WHERE l_extendedprice <> floor(l_extendedprice)) AS price_lost FROM lineitem GROUP BY 1")
 def lossless_widening(t: Tables):
     li = t.table("lineitem")
-    return li.agg(Q.lossless(li, "l_quantity", "bigint").alias("quantity_lost"), Q.lossless(li, "l_extendedprice", "bigint").alias("price_lost"))
+    return li.groupBy("l_suppkey").agg(Q.lossless(li, "l_quantity", "bigint").alias("quantity_lost"), Q.lossless(li, "l_extendedprice", "bigint").alias("price_lost"))

@@ -87,9 +87,9 @@ def gap_rows_union(t: Tables):
     return S.with_gaps(t.slots(), made).groupBy("ticker", "row_kind", "error_class").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("gap_counts", "SELECT c.day, g.gaps FROM calendar c LEFT JOIN (SELECT day, count(*) FILTER (WHERE row_kind = 'gap') AS gaps FROM slots WHERE ticker = 'error' AND day(day) % 5 <> 0 GROUP BY 1) g ON g.day = c.day", dates="day")
+@query("gap_counts", "SELECT c.day, g.gaps FROM calendar c LEFT JOIN (SELECT CASE WHEN day(day) % 5 <> 0 THEN day END AS day, count(*) FILTER (WHERE row_kind = 'gap') AS gaps FROM slots GROUP BY 1) g ON g.day = c.day", dates="day")
 def gap_counts(t: Tables):
-    return S.gap_counts(t.calendar(), t.slots().where((F.col("ticker") == "error") & (F.day("day") % 5 != 0)))
+    return S.gap_counts(t.calendar(), t.slots().withColumn("day", F.when(F.day("day") % 5 != 0, F.col("day"))))
 
 
 @query("cycle_listing", "SELECT DISTINCT ticker, day, strftime((snap_ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York', '%H:%M') AS minute FROM slots WHERE row_kind = 'data' AND CAST((snap_ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS DATE) = day", dates="day")

@@ -43,22 +43,23 @@ def live_slots(t: Tables):
 @query(
     "live_watchdog",
     """WITH o AS (SELECT *, CASE WHEN row_kind = 'data' THEN 1 ELSE 0 END AS ok FROM slots), i AS (SELECT *, sum(ok) OVER (PARTITION BY ticker ORDER BY snap_ts, event_id) AS isl FROM o),
-       r AS (SELECT *, sum(1 - ok) OVER (PARTITION BY ticker, isl ORDER BY snap_ts, event_id) AS n FROM i) SELECT ticker, strftime(snap_ts, '%Y-%m-%d %H:%M:%S') AS at, 'failing' AS event FROM r WHERE n = 2 AND ok = 0""",
+       r AS (SELECT *, sum(1 - ok) OVER (PARTITION BY ticker, isl ORDER BY snap_ts, event_id) AS n FROM i), b AS (SELECT *, lag(n) OVER (PARTITION BY ticker ORDER BY snap_ts, event_id) AS before FROM r)
+       SELECT ticker, strftime(snap_ts, '%Y-%m-%d %H:%M:%S') AS at, CASE WHEN ok = 0 THEN 'failing' ELSE 'recovered' END AS event, CAST(CASE WHEN ok = 0 THEN n ELSE before END AS BIGINT) AS failures FROM b WHERE n = 2 AND ok = 0 OR ok = 1 AND before >= 2""",
 )
 def live_watchdog(t: Tables):
     pages = run_once(V.watchdog(event_stream(t), threshold=2), "append")
-    return pages.where("event = 'failing'").select("ticker", text("at").alias("at"), "event")
+    return pages.select("ticker", text("at").alias("at"), "event", F.col("failures").cast("long").alias("failures"))
 
 
 @query(
     "live_drift_pages",
-    """WITH d AS (SELECT ticker, event_id, snap_ts, CASE WHEN row_kind = 'data' THEN event_id % 5 = 0 END AS x FROM slots WHERE ticker = 'click'), k AS (SELECT *, lag(x) OVER (ORDER BY snap_ts, event_id) AS was FROM d WHERE x IS NOT NULL)
-       SELECT strftime(snap_ts, '%Y-%m-%d %H:%M:%S') AS at FROM k WHERE x AND NOT coalesce(was, false)""",
+    """WITH d AS (SELECT ticker, event_id, snap_ts, CASE WHEN row_kind = 'data' THEN event_id % 5 = 0 END AS x FROM slots), k AS (SELECT *, row_number() OVER (ORDER BY snap_ts, event_id) AS i FROM d WHERE x IS NOT NULL),
+       e AS (SELECT i, ticker, snap_ts, x, lag(x) OVER (PARTITION BY ticker ORDER BY i) AS was FROM k), h AS (SELECT *, sum(CASE WHEN x AND NOT coalesce(was, false) THEN 1 WHEN NOT x AND was THEN -1 ELSE 0 END) OVER (ORDER BY i) AS held FROM e)
+       SELECT ticker, strftime(snap_ts, '%Y-%m-%d %H:%M:%S') AS at FROM h WHERE x AND NOT coalesce(was, false) AND held = 1""",
 )
 def live_drift_pages(t: Tables):
-    s = event_stream(t).where("ticker = 'click'")
-    rows = s.select(F.lit("chains").alias("surface"), F.lit("bid").alias("column"), "ticker", "snap_ts", F.when(F.col("row_kind") == "data", F.col("event_id") % 5 == 0).alias("drifts"))
-    return run_once(V.drift_pages(rows), "append").select(text("at").alias("at"))
+    rows = event_stream(t).select(F.lit("chains").alias("surface"), F.lit("bid").alias("column"), "ticker", "snap_ts", F.when(F.col("row_kind") == "data", F.col("event_id") % 5 == 0).alias("drifts"))
+    return run_once(V.drift_pages(rows), "append").select("ticker", text("at").alias("at"))
 
 
 @query("dead_man", "SELECT ticker AS key, max(epoch(snap_ts)) - max(epoch(snap_ts)) FILTER (WHERE row_kind = 'data' AND event_id % 50 = 0) > 36000 AS starved FROM slots GROUP BY 1")
@@ -77,10 +78,10 @@ def folded_pages(t: Tables):
     return V.fold_pages(pages, t.spans(), 60).withColumns({"at": text("at"), "keys": F.array_join("keys", ",")})
 
 
-@query("late_rows", "SELECT day > DATE '2024-01-20' AS open_day, count(*) AS n FROM slots GROUP BY 1")
+@query("late_rows", "SELECT event_id, day > DATE '2024-01-20' AS open_day FROM slots")
 def late_rows(t: Tables):
     ok, late = V.split_late(t.slots(), "2024-01-20")
-    return ok.select(F.lit(True).alias("open_day")).unionByName(late.select(F.lit(False).alias("open_day"))).groupBy("open_day").agg(F.count(F.lit(1)).alias("n"))
+    return ok.select("event_id", F.lit(True).alias("open_day")).unionByName(late.select("event_id", F.lit(False).alias("open_day")))
 
 
 

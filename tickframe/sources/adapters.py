@@ -60,7 +60,7 @@ CTES = {
     "costs": """
         SELECT l_returnflag AS product, CASE WHEN l_linestatus = 'O' THEN 'Usage' ELSE 'Credit' END AS line_type, CAST(l_linenumber AS VARCHAR) AS usage_type,
                l_suppkey AS resource, CAST(round(l_extendedprice * l_discount * 100) AS BIGINT) AS cents, CAST(l_shipdate AS DATE) AS day FROM lineitem""",
-    "findings": "SELECT event_type || (user_id % 10) AS key, CAST(ts AS DATE) AS night, count(*) AS n FROM events WHERE event_id % 5 = 0 GROUP BY 1, 2",
+    "findings": "SELECT event_type || (user_id % 10) AS key, CAST(ts AS DATE) AS night, count(*) FILTER (WHERE value < 4) AS n FROM events GROUP BY 1, 2 HAVING count(*) FILTER (WHERE value < 4) > 0",
 }
 
 
@@ -160,7 +160,7 @@ class Tables:
         return self.table("lineitem").select(F.col("l_returnflag").alias("product"), F.when(F.col("l_linestatus") == "O", "Usage").otherwise("Credit").alias("line_type"), F.col("l_linenumber").cast("string").alias("usage_type"), F.col("l_suppkey").alias("resource"), F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("long").alias("cents"), F.to_date("l_shipdate").alias("day"))
 
     def findings(self) -> DataFrame:
-        return self.table("events").where("event_id % 5 = 0").groupBy(F.concat("event_type", F.col("user_id") % 10).alias("key"), F.to_date("ts").alias("night")).agg(F.count(F.lit(1)).alias("n"))
+        return self.table("events").groupBy(F.concat("event_type", F.col("user_id") % 10).alias("key"), F.to_date("ts").alias("night")).agg(F.count_if(F.col("value") < 4).alias("n")).where("n > 0")
 
 
 def text(c: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

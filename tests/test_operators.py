@@ -154,6 +154,125 @@ def test_unreadable_segments_are_listed(spark, tmp_path):
     assert rows.count() == 2 and [r.unreadable.rsplit("/", 1)[1] for r in bad.collect()] == ["b.parquet"]
 
 
+def test_a_file_without_rows_is_sound_and_one_damaged_half_way_is_not(spark, tmp_path):
+    from tickframe.sources import sealed
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"x": pa.array([], pa.int64())}), tmp_path / "none.parquet")
+    pq.write_table(pa.table({"x": list(range(100_000))}), tmp_path / "half.parquet", row_group_size=10_000, write_page_checksum=True)
+    whole = bytearray((tmp_path / "half.parquet").read_bytes())
+    at = len(whole) // 2
+    whole[at : at + 2000] = bytes(2000)  # later row groups can't be read; the footer and the first ones can
+    (tmp_path / "half.parquet").write_bytes(whole)
+    spark.createDataFrame([(1,)], "x long").repartition(2).write.parquet(str(tmp_path / "spark"))
+    rows, bad = sealed.read_landing(spark, str(tmp_path), "x long")
+    assert [r.x for r in rows.collect()] == [1]
+    assert [r.unreadable.rsplit("/", 1)[1] for r in bad.collect()] == ["half.parquet"]
+
+
+def test_ledgers_of_a_folder_end_each_at_their_own_damage(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"a": 1}\n{"a": 2}\n')
+    (tmp_path / "b.jsonl").write_text('{"a": 3}\n{"a": \n')
+    (tmp_path / "c.jsonl").write_text("")
+    assert sorted(r.a for r in K.jsonl(spark, str(tmp_path), "a long", strict=True).collect()) == [1, 2, 3]
+
+
+def test_cost_export_refuses_and_fills(spark, tmp_path):
+    whole = {c: None for c in K.COST_COLUMNS}
+    schema = ", ".join(f"{c} {k}" for c, k in K.COST_COLUMNS.items())
+    spark.createDataFrame([tuple(whole.values())], schema).write.parquet(str(tmp_path / "a"))
+    r = K.cost_export(spark, str(tmp_path / "a")).first()
+    assert (r.day, r.product_code, r.unblended_cost) == (None, "", 0.0)
+    spark.range(1).write.parquet(str(tmp_path / "b"))
+    with pytest.raises(ValueError, match="without"):
+        K.cost_export(spark, str(tmp_path / "b"))
+
+
+def test_digest_is_cut_at_bytes(spark):
+    rows = spark.createDataFrame([(1, "aé中😀", 1)], "night int, name string, n int")
+    whole = "aé中😀=1".encode()
+    for most in range(1, 14):
+        assert K.digest(rows, most).first().body == whole[:most].decode(errors="ignore")
+
+
+def test_streams_go_on_from_their_state():
+    """The steps of the two stateful operators against plain loops, over batches of any size."""
+    import random
+
+    import pandas as pd
+
+    from tickframe.streaming import live
+
+    class State:
+        exists, value = False, None
+
+        @property
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            self.exists, self.value = True, v
+
+    class Rows:
+        def groupBy(self, *_):  # noqa: N802
+            return self
+
+        def applyInPandasWithState(self, step, *_):  # noqa: N802
+            return step
+
+    rng = random.Random(1)
+    watch, drift = live.watchdog(Rows(), threshold=2), live.drift_pages(Rows())
+    for _ in range(200):
+        rows = [(i, rng.choice(["data", "gap", None]), rng.choice("ab"), rng.choice([True, False, None])) for i in range(rng.randrange(1, 25))]
+        want, n, held, pages = [], 0, set(), []
+        for at, kind, ticker, x in rows:
+            if kind == "data":
+                want += [(at, "recovered", n)] * (n >= 2)
+                n = 0
+            else:
+                n += 1
+                want += [(at, "failing", n)] * (n == 2)
+            if x:
+                pages += [(ticker, at)] * (not held)
+                held.add(ticker)
+            elif x is False:
+                held.discard(ticker)
+        got, found, a, b = [], [], State(), State()
+        while rows:
+            k = rng.randrange(1, len(rows) + 1)
+            batch, rows = rows[:k], rows[k:]
+            f = pd.DataFrame(batch, columns=["snap_ts", "row_kind", "ticker", "drifts"]).astype({"drifts": object})
+            got += [tuple(r)[1:] for out in watch(("t",), iter([f]), a) for r in out.itertuples(index=False)]
+            found += [tuple(r)[2:] for out in drift(("s", "c"), iter([f]), b) for r in out.itertuples(index=False)]
+        assert got == want and found == pages
+
+
+def test_retuned_windows_of_a_whole_table(spark):
+    """The fold of fetch windows against a plain loop over all of a table's days."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet").groupBy("event_type", (F.floor(F.day("ts") / 4) * 4).cast("int").alias("lo")).agg(F.count(F.lit(1)).alias("n")).collect()
+    most, least = 30, 20
+    df = spark.createDataFrame([(r.event_type, r.lo, r.lo + 3, r.n) for r in rows], "k string, lo int, hi int, n long")
+    got = {}
+    for r in K.retune(df, ["k"], most=most, least=least).orderBy("k", "at").collect():
+        got.setdefault(r.k, []).append((r.lo, r.hi, r.n))
+    for k in {r.event_type for r in rows}:
+        parts = []
+        for lo, hi, n in sorted((r.lo, r.lo + 3, r.n) for r in rows if r.event_type == k):
+            if n > most:
+                mid = (lo + hi) // 2
+                parts += [(lo, mid, -(-n // 2)), (mid + 1, hi, n // 2)]
+            else:
+                parts.append((lo, hi, n))
+        out = []
+        for p in parts:
+            if out and out[-1][2] < least and out[-1][2] + p[2] <= most:
+                out[-1] = (out[-1][0], p[1], out[-1][2] + p[2])
+            else:
+                out.append(p)
+        assert [(a, b) for a, b, _ in got[k]] == [(a, b) for a, b, _ in out]
+
+
 def test_reference_tables_refuse(spark, tmp_path):
     from pyspark.sql import types as T
 
@@ -169,13 +288,18 @@ def test_reference_tables_refuse(spark, tmp_path):
         sealed.read_reference(spark, p, T.StructType([T.StructField("a", T.StringType())]), [1])
 
 
-def test_a_segment_lands_once(spark, tmp_path):
+def test_a_segment_lands_once_even_after_a_crash(spark, tmp_path):
     from tickframe.streaming import live
 
-    batch = spark.createDataFrame([("s1", 1), ("s1", 2), ("s2", 3)], "segment string, x int")
-    for _ in range(2):
-        live.land_once(batch, str(tmp_path / "t"), str(tmp_path / "m"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    target, manifest = str(tmp_path / "t"), str(tmp_path / "m")
+    batch = spark.createDataFrame([("s1", 1), ("s1", 2), ("s1", 2), ("s2", 3)], "segment string, x int")
+    batch.where("segment = 's1'").write.mode("append").partitionBy("segment").parquet(target)  # written, but the manifest was not
+    for _ in range(3):
+        live.land_once(batch, target, manifest)
+    assert sorted((r.segment, r.x) for r in live.landed(spark, target, manifest).collect()) == [("s1", 1), ("s1", 2), ("s1", 2), ("s2", 3)]
+    assert {r.segment: r.rows for r in spark.read.parquet(manifest).collect()} == {"s1": 3, "s2": 1}
+    live.land_once(spark.createDataFrame([("s3", 4)], batch.schema), target, manifest)
+    assert live.landed(spark, target, manifest).count() == 5
 
 
 def test_daily_csv_refuses_what_it_must(spark, tmp_path):

@@ -26,16 +26,17 @@ def cents(c: Column) -> Column:
     return F.when((F.abs(scaled - whole) <= 1e-6) & (F.abs(whole) < 9e18), whole.cast("long"))
 
 
-def factors(sessions: DataFrame, events: DataFrame, value: Column | str, key: str = "instrument_id", day: str = "session", ex: str = "ex_date") -> DataFrame:
-    """key, day and the product of value over events strictly after the day (C15), for days with any.
+def factors(sessions: DataFrame, events: DataFrame, value: Column | str, key: str = "instrument_id", day: str = "session", ex: str = "ex_date", bad: str | None = None) -> DataFrame:
+    """key, day and the product of value over events strictly after the day (C15), for days with any; with bad, that column's sum too.
 
     A key's events are a short history, so they meet its days as one array and no row is made for each pair of the two.
     """
-    e = events.select(F.col(key).alias("_k"), F.struct(F.col(ex).alias("x"), (F.col(value) if isinstance(value, str) else value).alias("v")).alias("_e"))
+    e = events.select(F.col(key).alias("_k"), F.struct(F.col(ex).alias("x"), (F.col(value) if isinstance(value, str) else value).alias("v"), (F.col(bad) if bad else F.lit(0)).cast("long").alias("b")).alias("_e"))
     history = e.groupBy("_k").agg(F.collect_list("_e").alias("_h"))
     met = sessions.select(key, day).distinct().join(history, F.col(key) == F.col("_k"))
     later = met.select(key, day, F.filter("_h", lambda e: e["x"] > F.col(day)).alias("_l")).where(F.size("_l") > 0)
-    return later.select(key, day, F.aggregate("_l", F.lit(1.0), lambda acc, e: acc * F.coalesce(e["v"], F.lit(1.0))).alias("factor"))
+    total = [F.aggregate("_l", F.lit(0).cast("long"), lambda acc, e: acc + e["b"]).alias("bad")] if bad else []
+    return later.select(key, day, F.aggregate("_l", F.lit(1.0), lambda acc, e: acc * F.coalesce(e["v"], F.lit(1.0))).alias("factor"), *total)
 
 
 def split_adjusted(bars: DataFrame, splits: DataFrame, key: str = "instrument_id", day: str = "session") -> DataFrame:
@@ -74,9 +75,7 @@ def total_return(bars: DataFrame, splits: DataFrame, dividends: DataFrame, key:
     priced = priced.join(carry, [key, "ex_date"], "left").withColumn("_c", F.col("prior_close") / F.coalesce("_carry", F.lit(1.0)))
     ok = F.coalesce(F.col("cash_amount") < F.col("_c"), F.lit(False))
     paid = priced.select(key, "ex_date", F.when(ok, 1 - F.col("cash_amount") / F.col("_c")).otherwise(1.0).alias("_f"), F.when(ok, 0).otherwise(1).alias("_bad"))
-    e = paid.select(F.col(key).alias("_k"), F.col("ex_date").alias("_x"), "_f", "_bad")
-    days = bars.select(key, day).distinct()
-    f = days.join(e, (F.col(key) == F.col("_k")) & (F.col("_x") > F.col(day))).groupBy(key, day).agg(F.product("_f").alias("_t"), F.sum("_bad").alias("refused"))
+    f = factors(bars, paid, "_f", key, day, bad="_bad").withColumnsRenamed({"factor": "_t", "bad": "refused"})
     out = split_adjusted(bars, splits, key, day).join(f, [key, day], "left")
     by = F.coalesce(F.col("_t"), F.lit(1.0))
     return out.withColumns({**{c: F.col(c) * by for c in ("open", "high", "low", "close")}, "refused": F.coalesce("refused", F.lit(0)), "view": F.lit("total")}).drop("_t")

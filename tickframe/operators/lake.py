@@ -13,18 +13,54 @@ def inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 
 def jsonl(spark: SparkSession, path: str, schema: str, strict: bool = False) -> DataFrame:
-    """Lines of one ledger file in file order up to the first damaged one (A12), with seq.
+    """Lines of a ledger file, or of a folder of them, each in file order up to its first damaged one.
 
-    strict raises if a good line stands behind the damage. A ledger file is one row when read whole, as its order is its meaning.
+    `seq` is a line's place: its block and its number after it; `file` names the ledger. strict raises if a good line stands
+    behind damage in any file. Files are read in splits and meet the place of their damage by a join on the file.
     """
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split("value", "\n")).alias("seq", "line")).where("trim(line) <> ''")
-    parsed = lines.select("seq", F.from_json("line", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e"))
-    first = parsed.agg(F.min(F.when(F.col("e._bad").isNotNull(), F.col("seq"))).alias("_first"))
-    j = parsed.join(F.broadcast(first))
-    if strict and not j.where("_first is not null and seq > _first and e._bad is null").isEmpty():
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("seq"), F.col("value").alias("line")).where("trim(line) <> ''")
+    parsed = lines.select("file", "seq", F.from_json("line", f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e"))
+    bad = F.col("e._bad").isNotNull()
+    damage = parsed.groupBy("file").agg(F.min(F.when(bad, F.col("seq"))).alias("_first"), F.max(F.when(~bad, F.col("seq"))).alias("_last")).where("_first is not null").withColumnRenamed("file", "_file")
+    if strict and not damage.where("_last > _first").isEmpty():
         raise ValueError(f"whole lines behind damage in {path}")
-    return j.where("_first is null or seq < _first").select("seq", "e.*").drop("_bad")
+    j = parsed.join(damage, F.col("file") == F.col("_file"), "left")
+    return j.where("_first is null or seq < _first").select("file", "seq", "e.*").drop("_bad")
+
+
+#: The columns of a billing export that figures are made of, with their kinds; fixed names.
+COST_COLUMNS = {
+    "line_item_usage_start_date": "timestamp",
+    "line_item_product_code": "string",
+    "line_item_usage_type": "string",
+    "line_item_resource_id": "string",
+    "line_item_line_item_type": "string",
+    "line_item_unblended_cost": "double",
+    "line_item_usage_amount": "double",
+    "line_item_currency_code": "string",
+    "line_item_usage_account_id": "string",
+}
+
+
+def cost_export(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of a billing export (A19): the nine columns, the day in UTC, empty texts for null ones, zero for null numbers.
+
+    A file without rows adds none; an export that lacks a column, or holds one as another kind, refuses.
+    """
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option("mergeSchema", "true").parquet(root)
+    have = dict(df.dtypes)
+    missing = [c for c in COST_COLUMNS if c not in have]
+    if missing:
+        raise ValueError(f"cost export without {', '.join(missing)}")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    start = F.col("line_item_usage_start_date")
+    return df.select(
+        F.to_date(F.to_utc_timestamp(start.cast("timestamp"), F.current_timezone())).alias("day"),
+        *(text(c).alias(c.removeprefix("line_item_")) for c, kind in COST_COLUMNS.items() if kind == "string"),
+        *(number(c).alias(c.removeprefix("line_item_")) for c, kind in COST_COLUMNS.items() if kind == "double"),
+    )
 
 
 def percentiles(x: Column, keep: Column | None = None) -> Column:
@@ -124,10 +160,9 @@ def upload_lag(listing: DataFrame, limit_seconds: int = 90) -> DataFrame:
 def runs(findings: DataFrame, nights: DataFrame, key: str = "key", night: str = "night", n: str = "n") -> DataFrame:
     """Runs of nights on which a key was found; nights nobody observed neither extend nor end one.
 
-    The index of observed nights comes from a join of nights with those before them, a small dimension.
+    The observed nights, one for each day there is, are numbered as one sorted array.
     """
-    seen = nights.select(F.col(night).alias("_n")).distinct()
-    idx = seen.join(seen.select(F.col("_n").alias("_b")), F.col("_b") <= F.col("_n")).groupBy("_n").agg(F.count(F.lit(1)).alias("_i"))
+    idx = nights.agg(F.array_sort(F.collect_set(night)).alias("_a")).select(F.posexplode("_a").alias("_p", "_n")).select("_n", (F.col("_p") + 1).cast("long").alias("_i"))
     last = idx.agg(F.max("_i").alias("_last"))
     w = Window.partitionBy(key).orderBy("_i")
     j = findings.join(idx, F.col(night) == F.col("_n")).withColumn("_g", F.col("_i") - F.row_number().over(w))
@@ -204,5 +239,9 @@ def retune(counts: DataFrame, keys: list[str], most: int, least: int) -> DataFra
 
 
 def digest(lines: DataFrame, most: int = 1000) -> DataFrame:
-    """A night's counts as one text of at most so many characters."""
-    return lines.groupBy("night").agg(F.array_sort(F.collect_list(F.concat_ws("=", "name", "n"))).alias("x")).select("night", F.substring(F.array_join("x", " "), 1, most).alias("body"))
+    """A night's counts as one text of at most so many bytes of UTF-8, cut between characters."""
+    body = lines.groupBy("night").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "name", "n"))), " ").alias("x"))
+    cut = F.substring(F.col("x").cast("binary"), 1, most)
+    # what is left of a character at the end: at most three bytes, which no longer decode
+    whole = F.coalesce(*(F.try_validate_utf8(F.substring(cut, F.lit(1), F.length(cut) - k).cast("string")) for k in range(4)))
+    return body.select("night", whole.alias("body"))

@@ -78,7 +78,7 @@ def scrub(manifest: DataFrame, files: DataFrame, absent: DataFrame | None = None
 
 def divergence(left: DataFrame, right: DataFrame, key: str = "partition", seq: str = "seq") -> DataFrame:
     """One row: the common prefix of two ledgers, entries past it on either side, and foreign partitions of the left tail."""
-    l, r = left.select(seq, F.xxhash64(key, "sha256").alias("a")), right.select(seq, F.xxhash64(key, "sha256").alias("b"))
+    l, r = left.select(seq, F.struct(key, "sha256").alias("a")), right.select(seq, F.struct(key, "sha256").alias("b"))
     apart = l.join(r, seq, "full_outer").agg(F.min(F.when(~F.col("a").eqNullSafe(F.col("b")), F.col(seq))).alias("first"), F.max(seq).alias("last"))
     first = F.coalesce(F.col("first"), F.col("last") + 1)
     counts = lambda df, name: df.join(F.broadcast(apart), F.col(seq) >= first).agg(F.count(F.lit(1)).alias(name))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators.snapshots import spans_of_sessions
+
 from tickframe.operators.bars import cents, number
 
 DELIVERABLES = "array<struct<assetType:string,currencyType:string,deliverableUnits:double,symbol:string>>"
@@ -283,6 +285,5 @@ def extract_dividends(quotes: DataFrame, current: DataFrame) -> tuple[DataFrame,
 
 def census(spans: DataFrame, calendar: DataFrame, landed: DataFrame, freqs: list[str], budget: int = 100) -> DataFrame:
     """What a backfill would ask for, newest first, minutes before days, up to the request budget."""
-    overlap = (F.col("span_start") <= F.col("close_at")) & (F.col("span_end").isNull() | (F.col("span_end") > F.col("open_at")))
-    owed = spans.join(calendar, overlap).select("ticker", "day").distinct().select("*", F.explode(F.array(*map(F.lit, freqs))).alias("freq"))
+    owed = spans_of_sessions(spans, calendar).select("*", F.explode(F.array(*map(F.lit, freqs))).alias("freq"))
     return owed.join(landed, ["ticker", "day", "freq"], "left_anti").orderBy(F.desc("day"), "ticker", F.col("freq") != "1m", "freq").limit(budget)

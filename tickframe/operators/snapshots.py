@@ -83,13 +83,34 @@ def slot_aggregate(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def every_ticker(slots: DataFrame, spans: DataFrame) -> DataFrame:
+    """Every slot with every ticker: the tickers travel as one row, and each slot gives a row for each."""
+    names = spans.agg(F.collect_set("ticker").alias("_t"))
+    return slots.join(F.broadcast(names)).select(F.explode("_t").alias("ticker"), "day", "slot")
+
+
+def span_days(spans: DataFrame, until: DataFrame, at: str) -> DataFrame:
+    """A row for each day that a span touches, through the last one of `until` where the span is open; days meet slots and sessions by equality."""
+    last = until.agg(F.max(F.to_date(at)).alias("_last"))
+    stop = F.least(F.coalesce(F.to_date("span_end"), F.col("_last")), F.col("_last"))
+    days = F.when(stop >= F.to_date("span_start"), F.sequence(F.to_date("span_start"), stop))
+    return spans.join(F.broadcast(last)).select(*spans.columns, F.explode(days).alias("_day"))
+
+
+def spans_of_sessions(spans: DataFrame, calendar: DataFrame) -> DataFrame:
+    """ticker and day of the sessions that a span overlaps."""
+    overlap = (F.col("span_start") <= F.col("close_at")) & (F.col("span_end").isNull() | (F.col("span_end") > F.col("open_at")))
+    bounds = calendar.select("day", "open_at", "close_at", F.explode(F.sequence(F.to_date("open_at"), F.to_date("close_at"))).alias("_day"))
+    return span_days(spans, calendar, "close_at").join(bounds, "_day").where(overlap).select("ticker", "day").distinct()
+
+
 def slot_status(slots: DataFrame, spans: DataFrame, aggregate: DataFrame, now: Column, grace_minutes: int = 2) -> DataFrame:
     """Every slot of every ticker with its status (D2): captured, suspect, out_of_scope, gap, pending or missing.
 
     A ticker may have several spans; a slot is in scope if any covers it.
     """
-    scope = slots.join(spans).groupBy("ticker", "day", "slot").agg(F.bool_or(covers(F.col("slot"), F.col("span_start"), F.col("span_end"))).alias("in_scope"))
-    j = scope.join(aggregate, ["ticker", "slot"], "left")
+    grid = every_ticker(slots, spans).join(owed_slots(slots, spans).withColumn("_in", F.lit(True)), ["ticker", "day", "slot"], "left")
+    j = grid.withColumn("in_scope", F.coalesce("_in", F.lit(False))).join(aggregate, ["ticker", "slot"], "left")
     pending = F.col("slot") > now - F.make_dt_interval(mins=F.lit(grace_minutes))
     status = F.when(F.col("data_rows") > 0, F.when(F.col("suspect"), "suspect").otherwise("captured")).when(~F.col("in_scope"), "out_of_scope").when(F.col("data_rows").isNotNull(), "gap").when(pending, "pending").otherwise("missing")
     return j.select("ticker", "day", "slot", status.alias("status"))
@@ -115,7 +136,8 @@ def latest_cycle(rows: DataFrame, calendar: DataFrame, now: Column, sessions: in
 def owed_slots(slots: DataFrame, spans: DataFrame, chains: bool = False) -> DataFrame:
     """Slots that some span of a ticker covers (C4)."""
     s = spans.where("options") if chains else spans
-    return slots.join(s, covers(F.col("slot"), F.col("span_start"), F.col("span_end"))).select("ticker", "day", "slot").distinct()
+    met = slots.withColumn("_day", F.to_date("slot")).join(span_days(s, slots, "slot").select("ticker", "span_start", "span_end", "_day"), "_day")
+    return met.where(covers(F.col("slot"), F.col("span_start"), F.col("span_end"))).select("ticker", "day", "slot").distinct()
 
 
 def missing_slots(owed: DataFrame, recorded: DataFrame, calendar: DataFrame | None = None, cap: int = 90) -> DataFrame:
@@ -196,7 +218,5 @@ def failures(rows: DataFrame, key: list[str], order: str = "snap_ts", threshold:
 
 def coverage(spans: DataFrame, calendar: DataFrame, present: DataFrame, on_purpose: DataFrame | None = None) -> DataFrame:
     """Sessions that a span overlaps and nothing records, but for absences on purpose."""
-    overlap = (F.col("span_start") <= F.col("close_at")) & (F.col("span_end").isNull() | (F.col("span_end") > F.col("open_at")))
-    owed = spans.join(calendar, overlap).select("ticker", "day").distinct()
-    out = owed.join(present.select("ticker", "day"), ["ticker", "day"], "left_anti")
+    out = spans_of_sessions(spans, calendar).join(present.select("ticker", "day"), ["ticker", "day"], "left_anti")
     return out if on_purpose is None else out.join(on_purpose.select("ticker", "day"), ["ticker", "day"], "left_anti")

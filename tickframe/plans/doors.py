@@ -11,6 +11,7 @@ from tickframe.operators import views as V
 from tickframe.plans.market import symbols
 from tickframe.plans.operations import files
 from tickframe.plans.registry import query
+from tickframe.plans.streams import event_stream, run_once
 from tickframe.sources import sealed
 from tickframe.sources.adapters import Tables, text
 from tickframe.streaming import live
@@ -102,9 +103,10 @@ def strict_dates(t: Tables):
 
 @query("close_guard", "SELECT s.event_id, s.event_id % 8 <> 0 AS in_time FROM slots s JOIN calendar c USING (day) WHERE s.slot = c.close_at")
 def close_guard(t: Tables):
-    j = t.slots().join(t.calendar().select("day", "close_at"), "day").where("slot = close_at")
+    s = event_stream(t).select("event_id", F.to_date("snap_ts").alias("day"), F.date_trunc("hour", "snap_ts").alias("slot"))
+    j = s.join(t.calendar().select("day", "close_at"), "day").where("slot = close_at")
     rows = j.select("day", "event_id", F.lit("spot_close").alias("close_tag"), (F.col("close_at") + F.make_dt_interval(mins=F.when(F.col("event_id") % 8 == 0, 6).otherwise(5))).alias("fetched_at"))
-    ok, late = live.close_guard(rows, t.calendar())
+    ok, late = (run_once(x, "append") for x in live.close_guard(rows, t.calendar()))
     return ok.select("event_id", F.lit(True).alias("in_time")).unionByName(late.select("event_id", F.lit(False).alias("in_time")))
 
 
@@ -115,8 +117,10 @@ def close_guard(t: Tables):
 )
 def missed_minutes(t: Tables):
     hours = t.calendar().select("day", F.explode(F.sequence("open_at", "close_at", F.expr("interval 1 hour"))).alias("slot"))
-    owed = hours.select("slot").join(t.slots().select("ticker").distinct())
-    return live.missed_minutes(t.slots(), owed, "2024-01-20 00:00:00").select("ticker", text("slot").alias("slot"), "row_kind")
+    names = t.slots().agg(F.collect_set("ticker").alias("_t"))
+    owed = hours.join(F.broadcast(names)).select("slot", F.explode("_t").alias("ticker"))
+    rows = run_once(event_stream(t).select("ticker", F.date_trunc("hour", "snap_ts").alias("slot")), "append")
+    return live.missed_minutes(rows, owed, "2024-01-20 00:00:00").select("ticker", text("slot").alias("slot"), "row_kind")
 
 
 @query("import_window", "SELECT ticker, day FROM (SELECT s.ticker, c.day, row_number() OVER (PARTITION BY s.ticker ORDER BY c.day DESC) AS r FROM (SELECT ticker, DATE '2024-01-10' + CAST(length(ticker) AS INTEGER) AS d FROM spans) s JOIN calendar c ON c.day < s.d) WHERE r <= 7", dates="day")

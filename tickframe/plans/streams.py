@@ -15,8 +15,14 @@ from tickframe.streaming import live as V
 
 
 def scratch(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share; only a local session may go without one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 
 def run_once(stream: DataFrame, mode: str) -> DataFrame:
@@ -64,8 +70,8 @@ def live_drift_pages(t: Tables):
 
 @query("dead_man", "SELECT ticker AS key, max(epoch(snap_ts)) - max(epoch(snap_ts)) FILTER (WHERE row_kind = 'data' AND event_id % 50 = 0) > 36000 AS starved FROM slots GROUP BY 1")
 def dead_man(t: Tables):
-    pings = t.slots().select(F.col("ticker").alias("key"), F.col("snap_ts").alias("owed_at"), F.when((F.col("row_kind") == "data") & (F.col("event_id") % 50 == 0), F.col("snap_ts")).alias("ping_at"))
-    return V.freshness(pings, 600).select("key", "starved")
+    pings = event_stream(t).select(F.col("ticker").alias("key"), F.col("snap_ts").alias("owed_at"), F.when((F.col("row_kind") == "data") & (F.col("event_id") % 50 == 0), F.col("snap_ts")).alias("ping_at"))
+    return run_once(V.freshness(pings, 600), "complete").select("key", "starved")
 
 
 @query(
@@ -80,10 +86,20 @@ def folded_pages(t: Tables):
 
 @query("late_rows", "SELECT event_id, day > DATE '2024-01-20' AS open_day FROM slots")
 def late_rows(t: Tables):
-    ok, late = V.split_late(t.slots(), "2024-01-20")
+    ok, late = (run_once(x, "append") for x in V.split_late(event_stream(t).withColumn("day", F.to_date("snap_ts")), "2024-01-20"))
     return ok.select("event_id", F.lit(True).alias("open_day")).unionByName(late.select("event_id", F.lit(False).alias("open_day")))
 
 
+@query("landed_segments", "SELECT event_id, event_type || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS segment, value FROM events")
+def landed_segments(t: Tables):
+    """The stream is run twice from its start, as after a crash; every segment lands once."""
+    path = scratch(t.spark)
+    rows = event_stream(t).select("event_id", F.concat_ws("-", "ticker", F.to_date("snap_ts").cast("string")).alias("segment"), "value")
+    sink = lambda batch, _: V.land_once(batch, f"{path}/rows", f"{path}/manifest")
+    for run in range(2):
+        rows.writeStream.option("checkpointLocation", f"{path}/checkpoint-{run}").trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+    return V.landed(t.spark, f"{path}/rows", f"{path}/manifest").select("event_id", F.col("segment").cast("string").alias("segment"), "value")
+
 
 def bodies(t: Tables, *parts) -> DataFrame:
     return t.table("events").select("event_id", F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("snap_ts"), F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts)).alias("body"))

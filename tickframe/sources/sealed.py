@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -34,11 +37,33 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, root: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
-    """A day's segments, and the files that hold no readable row (A2): the listing says what was there, the rows what was read."""
-    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root).withColumn("_file", F.col("_metadata.file_path"))
-    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).where("length > 0").select(F.regexp_replace("path", "^file:/+", "/").alias("_path"))
-    seen = rows.select(F.regexp_replace("_file", "^file:/+", "/").alias("_path")).distinct()
-    return rows.drop("_file"), there.join(seen, "_path", "left_anti").withColumnRenamed("_path", "unreadable")
+    """A day's segments, and the files that can't be read to their end (A2); such a file never counts as some rows or none.
+
+    Segments are small, so a task reads each as a whole to see whether it is sound; a sound file may have no rows. Files of
+    no bytes are absent. Rows are then read from the sound ones only.
+    """
+
+    def sound(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for f in frames:
+            ok = []
+            for content in f.content:
+                try:
+                    with pq.ParquetFile(pa.BufferReader(content), page_checksum_verification=True) as p:
+                        ok.append(p.metadata.num_rows == sum(p.read_row_group(i).num_rows for i in range(p.num_row_groups)))
+                except Exception:  # whatever a damaged file makes the reader say
+                    ok.append(False)
+            yield pd.DataFrame({"_path": f.path, "_sound": ok})
+
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).where("length > 0").select("path", "content")
+    judged = there.mapInPandas(sound, "_path string, _sound boolean").withColumn("_path", plain("_path"))
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
+    rows = rows.withColumn("_file", plain(F.col("_metadata.file_path")))
+    good = rows.join(judged.where("_sound").select(F.col("_path").alias("_p")), F.col("_file") == F.col("_p"), "left_semi")
+    return good.drop("_file"), judged.where(~F.col("_sound")).select(F.col("_path").alias("unreadable"))
 
 
 def seal(segments: DataFrame, target: str, columns: list[str], keys: tuple[str, ...] = ("ticker", "date")) -> int:
@@ -91,8 +116,9 @@ def daily_csv(spark: SparkSession, path: str, calendar: DataFrame, source: str)
 
 def sessions_before(calendar: DataFrame, first: DataFrame, n: int = 40) -> DataFrame:
     """The n sessions before each ticker's first one (A18). first: ticker, day."""
-    j = calendar.select("day").join(first.select("ticker", F.col("day").alias("_f")), F.col("day") < F.col("_f"))
-    return j.withColumn("_r", F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("day")))).where(F.col("_r") <= n).select("ticker", "day")
+    days = calendar.agg(F.array_sort(F.collect_set("day"), lambda a, b: F.datediff(b, a)).alias("_d"))  # newest first; a calendar has a day for each day there is
+    before = F.slice(F.filter("_d", lambda d: d < F.col("day")), 1, n)
+    return first.select("ticker", "day").join(F.broadcast(days)).select("ticker", F.explode(before).alias("day"))
 
 
 def timings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

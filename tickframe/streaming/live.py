@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,19 +26,16 @@ def watchdog(rows: DataFrame, key: str = "ticker", threshold: int = 3) -> DataFr
     """
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        (n,) = state.get if state.exists else (0,)
-        out = []
-        for at, kind in pd.concat(list(frames)).sort_values("snap_ts")[["snap_ts", "row_kind"]].itertuples(index=False):
-            if kind == "data":
-                if n >= threshold:
-                    out.append((k[0], at, "recovered", n))
-                n = 0
-            else:
-                n += 1
-                if n == threshold:
-                    out.append((k[0], at, "failing", n))
-        state.update((n,))
-        yield pd.DataFrame(out, columns=[key, "at", "event", "failures"])
+        (held,) = state.get if state.exists else (0,)
+        f = pd.concat(list(frames)).sort_values("snap_ts", kind="stable")
+        good = (f.row_kind == "data").to_numpy()
+        block = good.cumsum()  # failures after each good row; those before the first go on from the state
+        n = pd.Series(~good).groupby(block).cumsum().to_numpy() + (block == 0) * held
+        before = np.concatenate(([held], n[:-1]))
+        failing, recovered = ~good & (n == threshold), good & (before >= threshold)
+        at = failing | recovered
+        state.update((int(n[-1]),))
+        yield pd.DataFrame({key: k[0], "at": f.snap_ts.to_numpy()[at], "event": np.where(failing, "failing", "recovered")[at], "failures": np.where(failing, n, before)[at].astype(np.int32)})
 
     return rows.groupBy(key).applyInPandasWithState(step, f"{key} string, at timestamp, event string, failures int", "n int", "append", GroupStateTimeout.NoTimeout)
 
@@ -50,18 +48,15 @@ def drift_pages(rows: DataFrame) -> DataFrame:
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = set(state.get[0]) if state.exists else set()
-        out = []
-        for at, ticker, drifts in pd.concat(list(frames)).sort_values("snap_ts")[["snap_ts", "ticker", "drifts"]].itertuples(index=False):
-            if drifts is None or pd.isna(drifts):
-                continue
-            if drifts:
-                if not held:
-                    out.append((*k, ticker, at))
-                held.add(ticker)
-            else:
-                held.discard(ticker)
-        state.update((sorted(held),))
-        yield pd.DataFrame(out, columns=["surface", "column", "ticker", "at"])
+        f = pd.concat(list(frames)).dropna(subset=["drifts"]).sort_values("snap_ts", kind="stable")
+        drifts = f.drifts.astype(bool)
+        was = drifts.groupby(f.ticker).shift().astype("boolean").fillna(f.ticker.isin(held).astype("boolean")).astype(bool)
+        change = (drifts & ~was).astype(int) - (~drifts & was).astype(int)  # a ticker begins or ends to drift
+        page = (change == 1) & (change.cumsum() + len(held) == 1)
+        last = drifts.groupby(f.ticker).last()
+        state.update((sorted((held - set(last.index)) | set(last.index[last])),))
+        out = f[page]
+        yield pd.DataFrame({"surface": k[0], "column": k[1], "ticker": out.ticker, "at": out.snap_ts})
 
     return rows.groupBy("surface", "column").applyInPandasWithState(step, "surface string, column string, ticker string, at timestamp", "held array<string>", "append", GroupStateTimeout.NoTimeout)
 
@@ -74,20 +69,32 @@ def freshness(pings: DataFrame, grace_minutes: int = 10) -> DataFrame:
 
 
 def land_once(batch: DataFrame, target: str, manifest: str, key: str = "segment") -> None:
-    """A foreachBatch sink that writes a segment once however often it comes (ST6): the manifest's keys are left out."""
+    """A foreachBatch sink that lands a segment once however often it comes (ST6).
+
+    A segment comes as a whole. It is written to a folder of its own, over whatever a broken try left there, and counts as
+    landed once the manifest has it: what is in the manifest is left out, what is only in the folder is written again.
+    Equal rows of a segment all stay.
+    """
     from pyspark.errors import AnalysisException
 
     spark = batch.sparkSession
     try:
         new = batch.join(spark.read.parquet(manifest).select(key), key, "left_anti")
-    except AnalysisException:  # no manifest yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         new = batch
-    new = new.dropDuplicates().persist()
-    new.write.mode("append").parquet(target)
+    new = new.persist()
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(target)
     new.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(manifest)
     new.unpersist()
 
 
+def landed(spark, target: str, manifest: str, key: str = "segment") -> DataFrame:
+    """The rows of the segments that the manifest has; a folder without an entry is a broken try."""
+    return spark.read.parquet(target).join(spark.read.parquet(manifest).select(key).distinct(), key, "left_semi")
+
+
 def split_late(batch: DataFrame, sealed_through: str, day: str = "day") -> tuple[DataFrame, DataFrame]:
     """Rows of open days, and those of days already sealed, which go to quarantine and never vanish (ST8)."""
     limit = F.lit(sealed_through).cast("date")

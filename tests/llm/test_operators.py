@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -405,13 +406,20 @@ def test_op1_edges(spark, tmp_path):
     path = str(tmp_path / "w")
     warc.write(df, path, least=2)
     records = {bytes(r.record) for r in warc.reconstruct(spark, path).collect()}
-    one = next(r for r in records if b"<urn:page:5>" in r)
+    one = next(r for r in records if b"\r\nX-Page: 5\r\n" in r)
+    lines = [dict(x.split(b": ", 1) for x in r.partition(b"\r\n\r\n")[0].split(b"\r\n")[1:]) for r in map(lambda r: bytes(r.record), warc.reconstruct(spark, path).collect())]
+    ids = [x[b"WARC-Record-ID"] for x in lines]
+    assert len(set(ids)) == len(ids) == 7  # equal rows have ids of their own
+    assert all(re.fullmatch(rb"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", x[b"WARC-Date"]) for x in lines)
     head, _, body = one.partition(b"\r\n\r\n")
     assert head.startswith(b"WARC/1.1\r\nWARC-Type: response") and body.endswith("bé".encode() + b"\r\n\r\n")
     assert int(dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])[b"Content-Length"]) == len(body) - 4
     assert sum(b"WARC-Type: revisit" in r for r in records) == 0  # shorter payloads are responses each
     payloads = warc.read(spark, path)[1]
     assert payloads.count() == payloads.select("digest").distinct().count() == 4
+    warc.write(df, str(tmp_path / "v"), captured="2024-01-02T03:04:05Z")
+    back = {r[b"X-Page"]: r for r in (dict(x.split(b": ", 1) for x in bytes(r.record).partition(b"\r\n\r\n")[0].split(b"\r\n")[1:]) for r in warc.reconstruct(spark, str(tmp_path / "v")).collect())}
+    assert back[b"1"][b"WARC-Refers-To"] == back[b"2"][b"WARC-Record-ID"] and back[b"1"][b"WARC-Date"] == b"2024-01-02T03:04:05Z"
     warc.export(spark, path, str(tmp_path / "out"))
     assert warc.archive(df.limit(0)).count() == 0
 

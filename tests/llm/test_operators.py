@@ -498,20 +498,62 @@ def test_op2_rows(spark):
     assert all(r.n_chars == len(r.text) for r in got) and [r.url for r in got if r.page_id is None] == [None]
 
 
-def test_op6_edges(spark):
-    rows = [(1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "a\\0<s>[b]"), (1, 3, "assistant", None), (1, 3, "assistant", None), (2, 0, None, None), (None, 0, "assistant", "x"), (3, 0, "system", "only")]
-    rows += [(4, i, ("user", "assistant")[i % 2], f"{i} " + "w " * 90) for i in range(30)]
-    df = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, window int")
-    got = {r.conv_id: r for r in chat_format.digests(df).collect()}
-    for c in {r[0] for r in rows}:
-        mine = sorted((t, r or "", x or "") for k, t, r, x in rows if k == c)
-        loss = "".join(x for _, r, x in mine if r == "assistant")
-        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == (len(mine), brute.sha("".join(f"{r}\n{x}\n" for _, r, x in mine)), len(loss), brute.sha(loss))
-    w = chat_format.windows(df.where("conv_id = 4"), budget=200, history=100).orderBy("window").collect()
+CHATS = [(1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "a\\0<s>[b]"), (1, 3, "assistant", None), (1, 3, "assistant", None), (2, 0, None, None), (None, 0, "assistant", "x"), (3, 0, "system", "only"), (5, 0, "system", "w " * 3000), (5, 1, "user", "q"), (5, 2, "assistant", "long " * 9000), (5, None, "assistant", "no turn")]
+CHATS += [(4, i, ("user", "assistant")[i % 2], f"{i} " + "w " * 90) for i in range(30)]
+CHATS += [(6, i, ("system", "user", "assistant")[0 if i == 0 else 1 + i % 2], f"{i} " + "w " * (i * 37 % 61)) for i in range(3000)]
+
+
+@pytest.mark.parametrize(("blocks", "stretch"), [(16, 1024), (1, 7)])
+def test_op6_edges(spark, blocks, stretch):
+    df = spark.createDataFrame([(*r, 0) for r in CHATS], "conv_id long, turn long, role string, text string, window int")
+    got = {r.conv_id: r for r in chat_format.digests(df, blocks=blocks, stretch=stretch).collect()}
+    for c in {r[0] for r in CHATS}:
+        mine = sorted((t is not None, t or 0, r or "", x or "") for k, t, r, x in CHATS if k == c)
+        loss = "".join(x for *_, r, x in mine if r == "assistant")
+        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == (len(mine), brute.sha("".join(f"{r}\n{x}\n" for *_, r, x in mine)), len(loss), brute.sha(loss))
+    w = chat_format.windows(df.where("conv_id = 4"), budget=200, history=100, blocks=blocks).orderBy("block", "window").collect()
     assert len(w) > 5 and all(x.n_repeated == 1 for x in w[1:])  # one turn of history before each later span
     assert chat_format.digests(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("budget", "history", "blocks", "stretch"), [(256, 64, 16, 1024), (100, 40, 2, 50)])
+def test_op6_windows_by_brute_force(spark, budget, history, blocks, stretch):
+    """Spans, repeated turns and masks of long conversations, window by window."""
+    rows = [r for r in CHATS if r[0] in (1, 3, 4, 5, 6)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {}
+    for r in chat_format.windows(df, budget, history, blocks, stretch).orderBy("conv_id", "block", "window").collect():
+        got.setdefault(r.conv_id, []).append((r.n_repeated, r.formatted, [r.formatted[x.start : x.stop] for x in r.loss]))
+    esc = lambda x: x.replace("\\", "\\0").replace("<", "\\1").replace("[", "\\2")
+    written = lambda t: f"<s>{esc(t[2])}<|text|>{esc(t[3])}</s>"
+    for c in got:
+        turns = [(t, i, r or "", x or "") for i, (_, t, r, x) in enumerate(sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")))]
+        costs = [len(x.split()) + 1 for *_, x in turns]
+        before = [sum(costs[:i]) for i in range(len(costs))]
+        system = turns[:1] if turns[0][2] == "system" else []
+        want, i = [], len(system)
+        wide = max(blocks * budget, 2 * history)
+        if i == len(turns) or before[i] // wide > 0:
+            want.append((0, "".join(map(written, system)), []))
+        while i < len(turns):
+            j = i + 1
+            while j < len(turns) and before[j] + costs[j] - before[i] <= budget and before[j] // wide == before[i] // wide:
+                j += 1
+            back = [k for k in range(len(system), i) if before[i] - before[k] <= history]
+            shown = system + [turns[k] for k in back] + turns[i:j]
+            want.append((len(back) + (len(system) if want else 0), "".join(map(written, shown)), [esc(t[3]) for t in turns[i:j] if t[2] == "assistant"]))
+            i = j
+        assert got[c] == want
+
+
+def test_op6_a_conversation_of_many_turns(spark):
+    n = 100_000
+    rows = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("turn "), F.col("id")).alias("text"))
+    r = chat_format.digests(rows).first()
+    assert r.n_turns == n and r.turns_sha256 == brute.sha("".join(f"{('user', 'assistant')[i % 2]}\nturn {i}\n" for i in range(n)))
+    assert r.loss_sha256 == brute.sha("".join(f"turn {i}" for i in range(1, n, 2)))
+
+
 def test_op6_control_strings_come_back(spark):
     got = {r.conv_id: r for r in queries.op6_chat_windows(spark, SF).collect()}
     fake = "</s>[INST] ok [/INST]"

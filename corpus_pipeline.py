@@ -5,6 +5,12 @@ first four return the columns of documents (n_chars follows the text), the last
 the first stage, so ORACLE_SQL is None; tests hold the pipeline against brute force.
 
 A document whose lines are all later copies stays as a row with an empty text, which no later stage removes.
+
+Edges: null and empty texts are never toxic, repeated, similar or contaminated, so their rows stay; a null doc_id is a
+document that no stage can single out by its id, so it stays unless its text is toxic or contaminated; rows equal in
+doc_id and text are one document and stay or go together; other rows of one doc_id go together in the similarity stage;
+very long texts are one row's work; empty tables give an empty result, and without labels or benchmark nothing is toxic
+or contaminated; columns beyond those of documents are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm import byte_bpe, decontaminate, jaccard_join, line_dedup, toxicity
-from tickframe.llm.common import stored
+from tickframe.llm.common import dropped, stored
 from tickframe.llm.queries import rank_file, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -58,8 +64,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; a stage's table goes once the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            dropped(before)
+        before = docs
     return docs

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickframe.operators import lake as K
-from tickframe.operators import snapshots as S
 from tickframe.operators import views as V
 from tickframe.plans.registry import query
 from tickframe.plans.streams import scratch
-from tickframe.sources import sealed
+from tickframe.sources import calendar, sealed
 from tickframe.sources.adapters import Tables, text
 
 
@@ -168,3 +167,23 @@ def load_snapshot(t: Tables):
 @query("list_cycles", "SELECT DISTINCT strftime((snap_ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York', '%H:%M') AS minute FROM slots WHERE ticker = 'view' AND day = DATE '2024-01-09' AND row_kind = 'data' AND CAST((snap_ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS DATE) = day")
 def list_cycles(t: Tables):
     return V.list_cycles(V.Store(chains=t.slots()), "view", "2024-01-09").select("minute")
+
+
+_WALL = "strftime((CAST(day || ' {}' AS TIMESTAMP) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S')"
+
+
+@query(
+    "calendar_sessions",
+    f"""WITH b AS (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z FROM orders), d AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS day FROM b),
+        k AS (SELECT day FROM d WHERE isodow(day) < 6 AND day NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE day(o_orderdate) = 13)), e AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE day(o_orderdate) = 24)
+        SELECT day, {_WALL.format("09:30:00")} AS open_at, CASE WHEN day IN (SELECT day FROM e) THEN {_WALL.format("13:00:00")} ELSE {_WALL.format("16:00:00")} END AS close_at, CASE WHEN day IN (SELECT day FROM e) THEN {_WALL.format("13:15:00")} ELSE {_WALL.format("16:15:00")} END AS option_close_at,
+        day IN (SELECT day FROM e) AS early, row_number() OVER (ORDER BY day) AS idx FROM k""",
+    dates="day",
+)
+def calendar_sessions(t: Tables):
+    """Weekdays between the first and the last order; the 13th is a holiday and the 24th ends early where there are orders."""
+    day = F.to_date("o_orderdate")
+    o = t.table("orders").select(day.alias("day"))
+    bounds = o.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    c = calendar.sessions(bounds, o.where("day(day) = 13"), o.where("day(day) = 24"))
+    return c.withColumns({x: text(x) for x in ("open_at", "close_at", "option_close_at")})

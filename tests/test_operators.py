@@ -30,6 +30,12 @@ def test_total_return_refuses_a_dividend_above_its_close(spark):
     assert got == {1: (9.0, 1), 2: (10.0, 1), 3: (10.0, 0)}
 
 
+def test_carried_values_cross_the_years(spark):
+    rows = [(k, D(y, m, 1), v) for k, y, m, v in (("a", 2020, 1, None), ("a", 2020, 5, 1), ("a", 2020, 7, 2), ("a", 2021, 1, None), ("a", 2023, 1, None), ("a", 2023, 2, 3), ("a", 2024, 1, None), ("b", 2024, 1, None))]
+    got = B.carried(spark.createDataFrame(rows, "k string, d date, v int"), "k", "d", ["d"], "v").orderBy("k", "d").collect()
+    assert [r.carried for r in got] == [None, 1, 2, 2, 2, 3, 3, None]
+
+
 def test_cents_and_numbers(spark):
     df = spark.createDataFrame([(0.07,), (1.15,), (1.005,), (float("nan"),), (float("inf"),), (None,), (1e17,)], "x double")
     assert [r[0] for r in df.select(B.cents(F.col("x"))).collect()] == [7, 115, None, None, None, None, None]

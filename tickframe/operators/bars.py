@@ -47,6 +47,26 @@ def split_adjusted(bars: DataFrame, splits: DataFrame, key: str = "instrument_id
     return out.withColumns({**{c: F.col(c) / by for c in ("open", "high", "low", "close")}, "volume": F.round(F.col("volume") * by).cast("long"), "view": F.lit("split")}).drop("factor")
 
 
+def carried(rows: DataFrame, key: str, day: str, order: list[str], value: str) -> DataFrame:
+    """rows with `carried`: the last value that isn't null, at or before each row of its key in the given order.
+
+    A key's rows are ordered within a year of the day only; a year without a value before a row takes the edge of the years
+    before it, so a hot key is spread over its years. order begins with the day.
+    """
+    from pyspark.sql import Window
+
+    part = F.coalesce(F.year(day), F.lit(-1))
+    own = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    dealt = rows.withColumn("_part", part)
+    ends = dealt.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).agg(F.max_by(value, F.struct(*order)).alias("_end"))
+    years = dealt.select(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).distinct().join(ends, ["_ek", "_ep"], "left")
+    edge = Window.partitionBy("_ek").orderBy("_ep").rowsBetween(Window.unboundedPreceding, -1)
+    years = years.select("_ek", "_ep", F.last("_end", ignorenulls=True).over(edge).alias("_edge"))
+    local = dealt.withColumn("_own", F.last(value, ignorenulls=True).over(own))
+    j = local.join(years, (F.col(key) == F.col("_ek")) & (F.col("_part") == F.col("_ep")), "left")
+    return j.withColumn("carried", F.coalesce("_own", "_edge")).drop("_part", "_own", "_ek", "_ep", "_edge")
+
+
 def prior_close(events: DataFrame, bars: DataFrame, key: str = "instrument_id", ex: str = "ex_date") -> DataFrame:
     """Each event with the last positive finite close strictly before its ex-date, and the session it is of.
 
@@ -54,11 +74,7 @@ def prior_close(events: DataFrame, bars: DataFrame, key: str = "instrument_id",
     """
     ok = bars.where(number(F.col("close")) > 0).select(F.col(key).alias("_k"), F.col("session").alias("_d"), F.struct("close", "session").alias("_c"), F.lit(1).alias("_o"))
     days = events.select(F.col(key).alias("_k"), F.col(ex).alias("_d")).distinct().select("_k", "_d", F.lit(None).cast(ok.schema["_c"].dataType).alias("_c"), F.lit(0).alias("_o"))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("_k").orderBy("_d", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    carried = ok.unionByName(days).withColumn("_p", F.last("_c", ignorenulls=True).over(w)).where("_o = 0")
-    found = carried.select("_k", "_d", F.col("_p.close").alias("prior_close"), F.col("_p.session").alias("priced_on"))
+    found = carried(ok.unionByName(days), "_k", "_d", ["_d", "_o"], "_c").where("_o = 0").select("_k", "_d", F.col("carried.close").alias("prior_close"), F.col("carried.session").alias("priced_on"))
     return events.join(found, (F.col(key) == F.col("_k")) & (F.col(ex) == F.col("_d")), "left").drop("_k", "_d")
 
 

@@ -69,7 +69,7 @@ def heavy_shingles(rows: DataFrame, k: int, heavy: int) -> tuple[int, np.ndarray
     Shingles travel as packed remainders of a bucket; a bucket holds about 2^21 of them at any input size.
     """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(6, int(size // 6 >> 21).bit_length())  # about a shingle for 6 bytes of text
+    bits = max(10, int(size // 6 >> 21).bit_length())  # about a shingle for 6 bytes of text; enough buckets to lie evenly on tasks
     shift = U64(32 - bits)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

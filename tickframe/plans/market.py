@@ -164,7 +164,9 @@ def absent_series(t: Tables):
 )
 def missing_close(t: Tables):
     rows = t.slots().join(t.calendar(), "day").withColumn("close_tag", F.when((F.col("slot") == F.col("close_at")) & (F.col("event_id") % 3 == 0), "spot_close"))
-    return M.missing_close(t.spans().select("ticker").join(t.calendar().select("day")), rows, ["ticker", "day"])
+    names = t.spans().agg(F.collect_set("ticker").alias("_t"))
+    owed = t.calendar().join(F.broadcast(names)).select("day", F.explode("_t").alias("ticker"))
+    return M.missing_close(owed, rows, ["ticker", "day"])
 
 
 _STRIKES = """ses AS (SELECT 'T' || (l_suppkey % 5) AS ticker, CAST(date_trunc('week', l_shipdate) AS DATE) AS day, floor((epoch(date_trunc('week', l_shipdate)) / 604800))::BIGINT AS idx,

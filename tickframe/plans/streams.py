@@ -38,7 +38,8 @@ def event_stream(t: Tables) -> DataFrame:
     e = t.spark.readStream.schema(t.table("events").schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
     i = F.col("event_id")
     kind = F.when(i % 7 == 0, "gap").when(i % 97 == 0, None).otherwise("data")
-    return e.select("event_id", F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("snap_ts"), kind.alias("row_kind"), (i % 11 == 0).alias("suspect"), "user_id", "value")
+    error = F.when(i % 7 == 0, F.when(i % 3 == 0, "timeout").when(i % 3 == 1, "rate_limited").otherwise("vendor_error"))
+    return e.select("event_id", F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("snap_ts"), kind.alias("row_kind"), (i % 11 == 0).alias("suspect"), error.alias("error_class"), "user_id", "value")
 
 
 @query("live_slots", "SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS slot, ticker, count(*) FILTER (WHERE row_kind = 'data') AS data_rows, count(*) FILTER (WHERE row_kind = 'gap') AS gap_rows, bool_or(suspect) AS suspect FROM slots GROUP BY slots.slot, ticker")
@@ -80,8 +81,8 @@ def dead_man(t: Tables):
        SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS at, cause, keys, CASE WHEN c = (SELECT count(DISTINCT ticker) FROM slots) THEN 'all' ELSE 'some' END AS scope FROM g""",
 )
 def folded_pages(t: Tables):
-    pages = t.slots().where("row_kind = 'gap'").select("ticker", F.col("snap_ts").alias("at"), F.col("error_class").alias("cause"))
-    return V.fold_pages(pages, t.spans(), 60).withColumns({"at": text("at"), "keys": F.array_join("keys", ",")})
+    pages = event_stream(t).where("row_kind = 'gap'").select("ticker", F.col("snap_ts").alias("at"), F.col("error_class").alias("cause"))
+    return run_once(V.fold_pages(pages, t.spans(), 60), "complete").withColumns({"at": text("at"), "keys": F.array_join("keys", ",")})
 
 
 @query("late_rows", "SELECT event_id, day > DATE '2024-01-20' AS open_day FROM slots")

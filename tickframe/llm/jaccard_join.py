@@ -205,7 +205,7 @@ def _sets(rows: DataFrame, k: int, percent: int, often: tuple[int, np.ndarray, n
     return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, anchors array<long>, bits binary, prefix binary")
 
 
-def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int, most: int = 64) -> DataFrame:
+def linked(pairs: DataFrame, rows: DataFrame, k: int, percent: int, most: int = 16) -> DataFrame:
     """Those of the distinct pairs (a, b) whose sets are similar enough, compared exactly, and in how many shingles they differ at most.
 
     Pairs meet where the smallest neighbours of their two sides lie, so a family of texts travels once and not with each

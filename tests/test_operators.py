@@ -34,6 +34,27 @@ def test_carried_values_cross_the_years(spark):
     rows = [(k, D(y, m, 1), v) for k, y, m, v in (("a", 2020, 1, None), ("a", 2020, 5, 1), ("a", 2020, 7, 2), ("a", 2021, 1, None), ("a", 2023, 1, None), ("a", 2023, 2, 3), ("a", 2024, 1, None), ("b", 2024, 1, None))]
     got = B.carried(spark.createDataFrame(rows, "k string, d date, v int"), "k", "d", ["d"], "v").orderBy("k", "d").collect()
     assert [r.carried for r in got] == [None, 1, 2, 2, 2, 3, 3, None]
+    got = B.carried(spark.createDataFrame(rows, "k string, d date, v int"), "k", "d", ["d"], "v", backward=True).orderBy("k", "d").collect()
+    assert [r.carried for r in got] == [1, 1, 2, 3, 3, 3, None, None]
+
+
+def test_factors_by_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    day = lambda: D(rng.choice((2019, 2020, 2021, 2024)), rng.randrange(1, 13), rng.randrange(1, 28))
+    events = [(rng.choice("ab"), day(), rng.choice((0.5, 2.0, 4.0, None)), rng.randrange(2)) for _ in range(30)]
+    days = [(rng.choice("abc"), day()) for _ in range(80)] + [(k, x) for k, x, *_ in events]
+    got = {(r.k, r.d): (r.factor, r.bad) for r in B.factors(spark.createDataFrame(days, "k string, d date"), spark.createDataFrame(events, "k string, x date, v double, b int"), "v", "k", "d", "x", bad="b").collect()}
+    want = {}
+    for k, d in days:
+        later = [(v or 1.0, b) for j, x, v, b in events if j == k and x > d]
+        if later:
+            f = 1.0
+            for v, _ in later:
+                f *= v
+            want[k, d] = (f, sum(b for _, b in later))
+    assert got == want
 
 
 def test_cents_and_numbers(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NEW_YORK = "America/New_York"
@@ -26,17 +26,44 @@ def cents(c: Column) -> Column:
     return F.when((F.abs(scaled - whole) <= 1e-6) & (F.abs(whole) < 9e18), whole.cast("long"))
 
 
+def carried(rows: DataFrame, key: str, day: str, order: list[str], value: str, backward: bool = False) -> DataFrame:
+    """rows with `carried`: the last value that isn't null, at or before each row of its key in the given order (backward: at or after it, the next).
+
+    A key's rows are ordered within a year of the day only; a year without a value on that side of a row takes the edge of
+    the years beyond, so a hot key is spread over its years. order begins with the day.
+    """
+    part, turned = F.coalesce(F.year(day), F.lit(-1)), F.desc if backward else F.asc
+    own = Window.partitionBy(key, "_part").orderBy(*map(turned, order)).rowsBetween(Window.unboundedPreceding, 0)
+    dealt = rows.withColumn("_part", part)
+    edge_of = F.min_by if backward else F.max_by
+    ends = dealt.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).agg(edge_of(value, F.struct(*order)).alias("_end"))
+    years = dealt.select(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).distinct().join(ends, ["_ek", "_ep"], "left")
+    beyond = Window.partitionBy("_ek").orderBy(turned("_ep")).rowsBetween(Window.unboundedPreceding, -1)
+    years = years.select("_ek", "_ep", F.last("_end", ignorenulls=True).over(beyond).alias("_edge"))
+    local = dealt.withColumn("_own", F.last(value, ignorenulls=True).over(own))
+    j = local.join(years, (F.col(key) == F.col("_ek")) & (F.col("_part") == F.col("_ep")), "left")
+    return j.withColumn("carried", F.coalesce("_own", "_edge")).drop("_part", "_own", "_ek", "_ep", "_edge")
+
+
+def next_event(days: DataFrame, events: DataFrame, key: str, day: str, ex: str, values: list[str]) -> DataFrame:
+    """Each key and day with the values of the first event strictly after the day, for days that have one. events: one row for each key and ex."""
+    e = events.select(F.col(key).alias("_k"), F.col(ex).alias("_d"), F.lit(0).alias("_o"), F.struct(*values).alias("_v"))
+    d = days.select(F.col(key).alias("_k"), F.col(day).alias("_d")).distinct().select("_k", "_d", F.lit(1).alias("_o"), F.lit(None).cast(e.schema["_v"].dataType).alias("_v"))
+    met = carried(e.unionByName(d), "_k", "_d", ["_d", "_o"], "_v", backward=True).where("_o = 1 and carried is not null")
+    return met.select(F.col("_k").alias(key), F.col("_d").alias(day), "carried.*")
+
+
 def factors(sessions: DataFrame, events: DataFrame, value: Column | str, key: str = "instrument_id", day: str = "session", ex: str = "ex_date", bad: str | None = None) -> DataFrame:
     """key, day and the product of value over events strictly after the day (C15), for days with any; with bad, that column's sum too.
 
-    A key's events are a short history, so they meet its days as one array and no row is made for each pair of the two.
+    A key's events get their running products, from the last one backwards; a day takes that of the first event after it,
+    so there is a row for each event and each day, and none for each pair of the two.
     """
-    e = events.select(F.col(key).alias("_k"), F.struct(F.col(ex).alias("x"), (F.col(value) if isinstance(value, str) else value).alias("v"), (F.col(bad) if bad else F.lit(0)).cast("long").alias("b")).alias("_e"))
-    history = e.groupBy("_k").agg(F.collect_list("_e").alias("_h"))
-    met = sessions.select(key, day).distinct().join(history, F.col(key) == F.col("_k"))
-    later = met.select(key, day, F.filter("_h", lambda e: e["x"] > F.col(day)).alias("_l")).where(F.size("_l") > 0)
-    total = [F.aggregate("_l", F.lit(0).cast("long"), lambda acc, e: acc + e["b"]).alias("bad")] if bad else []
-    return later.select(key, day, F.aggregate("_l", F.lit(1.0), lambda acc, e: acc * F.coalesce(e["v"], F.lit(1.0))).alias("factor"), *total)
+    v = F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(1.0))
+    e = events.groupBy(key, ex).agg(F.product(v).alias("_f"), F.sum((F.col(bad) if bad else F.lit(0)).cast("long")).alias("_b"))
+    later = Window.partitionBy(key).orderBy(F.desc(ex)).rowsBetween(Window.unboundedPreceding, 0)
+    e = e.select(key, ex, F.product("_f").over(later).alias("factor"), F.sum("_b").over(later).alias("bad"))
+    return next_event(sessions, e, key, day, ex, ["factor", "bad"] if bad else ["factor"])
 
 
 def split_adjusted(bars: DataFrame, splits: DataFrame, key: str = "instrument_id", day: str = "session") -> DataFrame:
@@ -47,26 +74,6 @@ def split_adjusted(bars: DataFrame, splits: DataFrame, key: str = "instrument_id
     return out.withColumns({**{c: F.col(c) / by for c in ("open", "high", "low", "close")}, "volume": F.round(F.col("volume") * by).cast("long"), "view": F.lit("split")}).drop("factor")
 
 
-def carried(rows: DataFrame, key: str, day: str, order: list[str], value: str) -> DataFrame:
-    """rows with `carried`: the last value that isn't null, at or before each row of its key in the given order.
-
-    A key's rows are ordered within a year of the day only; a year without a value before a row takes the edge of the years
-    before it, so a hot key is spread over its years. order begins with the day.
-    """
-    from pyspark.sql import Window
-
-    part = F.coalesce(F.year(day), F.lit(-1))
-    own = Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    dealt = rows.withColumn("_part", part)
-    ends = dealt.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).agg(F.max_by(value, F.struct(*order)).alias("_end"))
-    years = dealt.select(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).distinct().join(ends, ["_ek", "_ep"], "left")
-    edge = Window.partitionBy("_ek").orderBy("_ep").rowsBetween(Window.unboundedPreceding, -1)
-    years = years.select("_ek", "_ep", F.last("_end", ignorenulls=True).over(edge).alias("_edge"))
-    local = dealt.withColumn("_own", F.last(value, ignorenulls=True).over(own))
-    j = local.join(years, (F.col(key) == F.col("_ek")) & (F.col("_part") == F.col("_ep")), "left")
-    return j.withColumn("carried", F.coalesce("_own", "_edge")).drop("_part", "_own", "_ek", "_ep", "_edge")
-
-
 def prior_close(events: DataFrame, bars: DataFrame, key: str = "instrument_id", ex: str = "ex_date") -> DataFrame:
     """Each event with the last positive finite close strictly before its ex-date, and the session it is of.
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators.bars import cents, next_event, number
 from tickframe.operators.snapshots import spans_of_sessions
 
-from tickframe.operators.bars import cents, number
-
 DELIVERABLES = "array<struct<assetType:string,currencyType:string,deliverableUnits:double,symbol:string>>"
 
 
@@ -253,14 +252,13 @@ def spellings(master: DataFrame, symbol: str) -> DataFrame:
 def standing_marks(rows: DataFrame, marks: DataFrame, key: str) -> DataFrame:
     """Each row with the mark of the boundaries after it (H6, W6): non-scalar beats indeterminate, else the earliest.
 
-    Both are laid in one order; a row looks at what follows it.
+    A key's marks get what holds from each of them on; a row takes that of the first mark after it.
     """
-    m = marks.select(key, F.col("day").alias("_d"), F.lit(0).alias("_row"), "mark")
-    r = rows.select(key, F.col("day").alias("_d"), F.lit(1).alias("_row"), F.lit(None).cast("string").alias("mark")).distinct()
-    w = Window.partitionBy(key).orderBy("_d", "_row").rowsBetween(1, Window.unboundedFollowing)
-    both = m.unionByName(r)
-    found = both.withColumn("_non", F.bool_or(F.col("mark") == "non_scalar").over(w)).withColumn("_next", F.first("mark", ignorenulls=True).over(w)).where("_row = 1")
-    standing = found.select(key, F.col("_d").alias("day"), F.when(F.coalesce("_non", F.lit(False)), "non_scalar").otherwise(F.col("_next")).alias("standing"))
+    m = marks.groupBy(key, F.col("day").alias("_at")).agg(F.bool_or(F.col("mark") == "non_scalar").alias("_non"), F.min("mark").alias("_mark"))
+    later = Window.partitionBy(key).orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, 0)
+    m = m.select(key, "_at", F.bool_or("_non").over(later).alias("_non"), "_mark")
+    found = next_event(rows, m, key, "day", "_at", ["_non", "_mark"])
+    standing = found.select(key, "day", F.when(F.coalesce("_non", F.lit(False)), "non_scalar").otherwise(F.col("_mark")).alias("standing"))
     return rows.join(standing, [key, "day"], "left")
 
 

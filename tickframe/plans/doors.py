@@ -11,7 +11,7 @@ from tickframe.operators import views as V
 from tickframe.plans.market import symbols
 from tickframe.plans.operations import files
 from tickframe.plans.registry import query
-from tickframe.plans.streams import event_stream, run_once
+from tickframe.plans.running import event_stream, run_once
 from tickframe.sources import sealed
 from tickframe.sources.adapters import Tables, text
 from tickframe.streaming import live

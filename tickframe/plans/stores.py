@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tickframe.operators import lake as K
 from tickframe.operators import views as V
 from tickframe.plans.registry import query
-from tickframe.plans.streams import scratch
+from tickframe.plans.running import scratch
 from tickframe.sources import calendar, sealed
 from tickframe.sources.adapters import Tables, text
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 U64 = np.uint64
+_LOCAL: dict[str, str] = {}  # folders of local sessions that name none
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -35,8 +36,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        base = _LOCAL.get(app) or tempfile.mkdtemp(prefix="spark-")
+        _LOCAL[app] = base
     return base.rstrip("/")
 
 

@@ -36,8 +36,7 @@ def carried(rows: DataFrame, key: str, day: str, order: list[str], value: str, b
     own = Window.partitionBy(key, "_part").orderBy(*map(turned, order)).rowsBetween(Window.unboundedPreceding, 0)
     dealt = rows.withColumn("_part", part)
     edge_of = F.min_by if backward else F.max_by
-    ends = dealt.where(F.col(value).isNotNull()).groupBy(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).agg(edge_of(value, F.struct(*order)).alias("_end"))
-    years = dealt.select(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).distinct().join(ends, ["_ek", "_ep"], "left")
+    years = dealt.groupBy(F.col(key).alias("_ek"), F.col("_part").alias("_ep")).agg(edge_of(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_end"))
     beyond = Window.partitionBy("_ek").orderBy(turned("_ep")).rowsBetween(Window.unboundedPreceding, -1)
     years = years.select("_ek", "_ep", F.last("_end", ignorenulls=True).over(beyond).alias("_edge"))
     local = dealt.withColumn("_own", F.last(value, ignorenulls=True).over(own))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -127,3 +128,70 @@ def live_spans(rows: list[tuple], max_owners: int = 2, max_repos: int = 2, min_l
         spans = sorted(base + [(a, 9, "live", b) for a, b in live])
         out.append((",".join(f"{k}:{a}:{b}" for a, _, k, b in spans), len(live), len(example)))
     return out
+
+
+def collocations(rows: list[tuple], least: int = 30, top: int = 2000) -> list[tuple]:
+    """(lang, text) -> sorted (lang, rank, phrase, a, l, r, n, score)."""
+    f, total = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for k in range(1, 5):
+                f[lang].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, c in f.items():
+        phrases = {w: a for w, a in c.items() if len(w) > 1 and a >= least}
+        inside = defaultdict(int)
+        for w, a in phrases.items():
+            for k in range(2, len(w)):
+                for i in range(len(w) - k + 1):
+                    inside[w[i : i + k]] = max(inside[w[i : i + k]], a)
+        found = []
+        for w, a in phrases.items():
+            if 100 * inside[w] < 80 * a:
+                score, _, x, y = min((2_000_000 * a // (c[w[:j]] + c[w[j:]]), j, c[w[:j]], c[w[j:]]) for j in range(1, len(w)))
+                found.append((-score, -a, " ".join(w).encode(), x, y))
+        out += [(lang, i + 1, p.decode(), -a, x, y, total[lang], -s) for i, (s, a, p, x, y) in enumerate(sorted(found)[:top])]
+    return sorted(out)
+
+
+def vocabulary(docs: list[tuple], every: int = 97, least: int = 5, least_n: int = 3) -> dict[str, int]:
+    c = Counter()
+    for i, t in docs:
+        for w in re.findall("[A-Za-z\u00c0-\u00ff]+", t or ""):
+            w = low(w)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % every == 0:
+                w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            c[w] += len(w) >= least
+    return {w: n for w, n in c.items() if n >= least_n}
+
+
+def variants(words: dict[str, int]) -> list[tuple]:
+    """word -> n; sorted (word, form, root, n, n_near, form_n), by deleting one letter of each word: two words are near if
+    they share such a rest at one place, or one is the other's rest."""
+    masks, near = defaultdict(set), defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            masks[(w[:i], w[i + 1 :])].add(w)
+            if (rest := w[:i] + w[i + 1 :]) in words:
+                near[w].add(rest)
+                near[rest].add(w)
+    for group in masks.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w, n in words.items():
+        if near[w]:
+            best = min(near[w], key=lambda x: (-words[x], x))
+            if words[best] >= 2 * n:
+                form[w] = best
+
+    def root(w: str) -> str:
+        while w in form:
+            w = form[w]
+        return w
+
+    return sorted((w, form.get(w), root(w), n, len(near[w]), words[form[w]] if w in form else None) for w, n in words.items())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import byte_bpe, chat_format, decontaminate, html_extract, jaccard_join, line_dedup, quality_rules, secret_scan, toxicity, warc
+from tickframe.llm import byte_bpe, chat_format, decontaminate, html_extract, jaccard_join, line_dedup, phrases, quality_rules, secret_scan, sharding, spelling, toxicity, warc
 
 
 def rank_file() -> str:
@@ -63,6 +63,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents")).drop("host_rate")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(table(spark, sf_dir, "documents"), 40)
+    return placed.select(F.col("row.doc_id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 WITH lines AS (
     SELECT doc_id, text, generate_subscripts(l, 1) AS pos, unnest(l) AS line
@@ -127,6 +140,22 @@ j AS (SELECT b.*, low > m AS host_suspect, low > 0.5 AS bad, n_words < 40 OR 200
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AND NOT (host_suspect AND strict) AS kept, host, host_suspect FROM j
 """
 
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, w[i : i + k - 1] AS w, k, count(*) AS a FROM g GROUP BY ALL),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 30),
+s AS (SELECT c.lang, c.w, c.k, c.a, j, h.a AS l, t.a AS r, (2000000::HUGEINT * c.a // (h.a + t.a))::BIGINT AS score
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN f h ON h.lang = c.lang AND h.w = c.w[1 : j] JOIN f t ON t.lang = c.lang AND t.w = c.w[j + 1 : c.k]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, j) = 1),
+inner_w AS (SELECT lang, a, w[i : i + n - 1] AS w FROM (SELECT *, unnest(range(1, k - n + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS n) WHERE n < k)),
+top AS (SELECT lang, w, max(a) AS a FROM inner_w GROUP BY ALL),
+kept AS (SELECT b.* FROM b LEFT JOIN top ON top.lang = b.lang AND top.w = b.w WHERE top.a IS NULL OR 100 * top.a < 80 * b.a),
+r AS (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, r.score FROM r JOIN (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1) n ON n.lang = r.lang WHERE r.rank <= 2000
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html_extract": op2_html_extract,
@@ -138,7 +167,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_phrases": op11_phrases,
+    "op12_sharding": op12_sharding,
+    "op13_spelling": op13_spelling,
 }
 #: Encoding by rank file, model scores, ownership of free tokens, markup and windowed formatting are tested against plain
-#: Python instead; so are components, which need an unbounded recursion.
-ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op4_line_windows": OP4_SQL, "op8_winnowing": OP8_SQL, "op10_quality_rules": OP10_SQL}
+#: Python instead; so are components, which need an unbounded recursion, seeded orders and words altered by a CRC.
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL, "op4_line_windows": OP4_SQL, "op8_winnowing": OP8_SQL, "op10_quality_rules": OP10_SQL, "op11_phrases": OP11_SQL}

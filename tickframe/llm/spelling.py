@@ -142,6 +142,14 @@ def one_edit(a: str, b: str) -> bool:
     return a[at + (len(a) == len(b)) :] == b[at + 1 :] and a != b
 
 
+def halves(words: list[str], less: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first and the second half of a partner that is ``less`` shorter, as they would stand at a word's two ends. One
+    edit leaves one half as it is."""
+    cut = [(max(len(w) - less, 0) // 2, max(len(w) - less, 0)) for w in words]
+    first = np.fromiter((hash(w[:h]) for w, (h, _) in zip(words, cut, strict=True)), np.int64, len(words))
+    return first, np.fromiter((hash(w[len(w) - (n - h) :]) for w, (h, n) in zip(words, cut, strict=True)), np.int64, len(words))
+
+
 def search(words: list[str], queries: list[str], surplus: np.ndarray, deficit: np.ndarray, levels: int, step: int = 1 << 19) -> Iterator[tuple[str, str]]:
     """Pairs (query, word) one edit apart, the query shorter, or as long and of the smaller vector, or else the smaller. Words in
     the order of their vectors are the trie; a node is a range of them, known by its first. A range of few words is compared at
@@ -151,6 +159,8 @@ def search(words: list[str], queries: list[str], surplus: np.ndarray, deficit: n
     v, words = v[order], [words[i] for i in order.tolist()]
     q, n = vectors(queries), np.fromiter(map(len, words), np.int64, len(words))
     nq = np.fromiter(map(len, queries), np.int64, len(queries))
+    heads, tails = (np.stack(x) for x in zip(halves(words, 0), halves(words, 1), strict=True))
+    head, tail = halves(queries, 0)
     changes = [np.zeros(0, np.int64)] * (GROUPS + 1)  # where a node of that depth ends
     edge = np.zeros(max(len(words) - 1, 0), bool)
     for depth in range(1, GROUPS + 1):
@@ -171,14 +181,19 @@ def search(words: list[str], queries: list[str], surplus: np.ndarray, deficit: n
             half = len(who) // 2
             todo += [(depth, *(x[half:] for x in (who, lo, hi, more, less))), (depth, *(x[:half] for x in (who, lo, hi, more, less)))]
             continue
-        small = (hi - lo <= 4) | (depth == GROUPS)
+        small = (hi - lo <= 16) | (depth == GROUPS)
         if small.any():
             size = (hi - lo)[small]
             for x, y in parted(who[small], lo[small], size, step):
+                longer = n[y] - nq[x]
+                fit = np.flatnonzero((longer == 0) | (longer == 1))
+                x, y, longer = x[fit], y[fit], longer[fit]
+                fit = np.flatnonzero((heads[longer, y] == head[x]) | (tails[longer, y] == tail[x]))
+                x, y, longer = x[fit], y[fit], longer[fit] == 1
                 gap = v[y] - q[x]
-                up, down, longer = np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1), n[y] == nq[x] + 1
+                up, down = np.maximum(gap, 0).sum(1), np.maximum(-gap, 0).sum(1)
                 alike = (up == 0) & (down == 0)
-                near = (up <= 1) & (down <= 1) & (longer | (n[y] == nq[x]) & (alike | ((gap > 0).argmax(1) < (gap < 0).argmax(1))))
+                near = (up <= 1) & (down <= 1) & (longer | alike | ((gap > 0).argmax(1) < (gap < 0).argmax(1)))
                 for i, j, tie in zip(x[near].tolist(), y[near].tolist(), alike[near].tolist(), strict=True):
                     a, b = queries[i], words[j]
                     if (not tie or a < b) and one_edit(a, b):

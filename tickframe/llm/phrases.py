@@ -116,7 +116,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 def slices(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[tuple]:
     for batch in batches:
-        for lo, hi, b in chunks(batch.column(0), 1 << 21):
+        for lo, hi, b in chunks(batch.column(0), 1 << 20):
             langs = batch.column(1).slice(lo, hi - lo).to_pylist()
             yield langs, *words_of(b, langs, salt)
 

@@ -48,4 +48,4 @@ def _main_select(sql: str) -> int:
     return at
 
 
-from tickframe.plans import bars, doors, ledgers, market, operations, quality, snapshots, stores, streams  # noqa: E402,F401
+from tickframe.plans import bars, doors, ledgers, market, operations, quality, snapshots, stores, streams, timed  # noqa: E402,F401

@@ -151,13 +151,9 @@ def test_named_queries_check_their_parameters(spark):
         V.load_bars(V.Store(), adjust="other")
 
 
-def test_sealing_and_legacy_reads(spark, tmp_path):
+def test_legacy_reads(spark, tmp_path):
     from tickframe.sources import sealed
 
-    rows = spark.createDataFrame([("A", D(2024, 1, d), d) for d in (1, 1, 2)], "ticker string, date date, x long")
-    assert sealed.seal(rows, str(tmp_path / "t"), ["x", "ticker", "date"]) == 3
-    assert sealed.seal(rows.where("x = 2"), str(tmp_path / "t"), ["x", "ticker", "date"]) == 1
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
     part = tmp_path / "old/ticker=A/freq=1d"
     part.mkdir(parents=True)
     import pyarrow as pa

@@ -10,7 +10,7 @@ from tickframe.operators import lake as K
 from tickframe.operators import views as V
 from tickframe.plans.registry import query
 from tickframe.plans.running import scratch
-from tickframe.sources import calendar, sealed
+from tickframe.sources import calendar, sealed, versions
 from tickframe.sources.adapters import Tables, text
 
 
@@ -44,12 +44,38 @@ def landing_scan(t: Tables):
     return rows.unionByName(bad.select(F.lit(-1).cast("long").alias("event_id"), F.col("unreadable").alias("ticker"), F.lit(None).cast("double").alias("value")))
 
 
+SEALED = T.StructType([T.StructField(n, k) for n, k in (("event_id", T.LongType()), ("row_kind", T.StringType()), ("value", T.DoubleType()), ("ticker", T.StringType()), ("date", T.DateType()))])
+
+
 @query("seal_round_trip", "SELECT event_id, ticker, day AS date, row_kind, value FROM slots", dates="date")
 def seal_round_trip(t: Tables):
-    path = scratch(t.spark)
-    rows = t.slots().withColumnRenamed("day", "date")
-    sealed.seal(rows, path, ["event_id", "row_kind", "value", "ticker", "date"])
-    return t.spark.read.schema("event_id long, row_kind string, value double, ticker string, date date").parquet(path).select("event_id", "ticker", "date", "row_kind", "value")
+    """Sealed in two commits; the second replaces the last week that the first had sealed a part of."""
+    store, rows = versions.Store(t.spark, scratch(t.spark), SEALED), t.slots().withColumnRenamed("day", "date")
+    week = F.col("date") > F.lit("2024-01-23").cast("date")
+    store.seal(rows.where(~week | (F.col("event_id") % 2 == 0)))
+    store.seal(rows.where(week))
+    return store.read().select("event_id", "ticker", "date", "row_kind", "value")
+
+
+@query(
+    "sealed_and_late",
+    """SELECT event_id, ticker, day AS date, CASE WHEN event_id % 17 > 0 THEN 'sealed' WHEN length(ticker) % 2 = 0 THEN 'reopened' ELSE 'quarantined' END AS state FROM slots""",
+    dates="date",
+)
+def sealed_and_late(t: Tables):
+    """Every seventeenth row comes after its day was sealed, in two batches, the first of them twice; tickers of even length are reopened for them. A
+    crash between write and publish, of a version that would double the rows, shows in nothing."""
+    store, rows = versions.Store(t.spark, scratch(t.spark), SEALED), t.slots().withColumnRenamed("day", "date").select(*SEALED.names)
+    late = F.col("event_id") % 17 == 0
+    store.seal(rows.where(~late))
+    for batch in (0, 0, 1):
+        store.land(rows.where(late & (F.col("event_id") % 2 == batch)), batch)
+    store.write(rows.unionByName(rows))
+    before = store.read()
+    store.reopen(store.manifest().where(F.length("ticker") % 2 == 0).select("ticker", "date"))
+    was = before.select(F.col("event_id").alias("_id"))  # a reader that began before the commit
+    now = store.read().join(was, F.col("event_id") == F.col("_id"), "left").select("event_id", "ticker", "date", F.when(F.col("_id").isNull(), "reopened").otherwise("sealed").alias("state"))
+    return now.unionByName(store.quarantined().select("event_id", "ticker", "date", F.lit("quarantined").alias("state")))
 
 
 @query("ledger_scan", "SELECT event_id, event_type AS ticker, value FROM events e WHERE event_id < coalesce((SELECT min(event_id) FROM events b WHERE b.event_type = e.event_type AND b.event_id % 500 = 7), event_id + 1)")

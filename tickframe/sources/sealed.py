@@ -1,4 +1,4 @@
-"""Sealed partitions, landing segments and reference tables (A1-A3, A14, A15, A17, A18, A20, A22, A23, ST6)."""
+"""Sealed partitions, landing segments and reference tables (A1-A3, A15, A17, A18, A20, A22, A23, ST6)."""
 
 from __future__ import annotations
 
@@ -66,27 +66,6 @@ def read_landing(spark: SparkSession, root: str, schema: StructType | str) -> tu
     return good.drop("_file"), judged.where(~F.col("_sound")).select(F.col("_path").alias("unreadable"))
 
 
-def seal(segments: DataFrame, target: str, columns: list[str], keys: tuple[str, ...] = ("ticker", "date")) -> int:
-    """Merges segments into partitions with columns in pinned order and checks the number of rows.
-
-    Rows of a partition go to tasks by key and slot, so a hot partition is several files.
-    """
-    spark = segments.sparkSession
-    out = segments.select(*columns)
-    want = out.count()
-    was = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.repartition(*keys, F.pmod(F.xxhash64(*[c for c in columns if c not in keys][:1]), F.lit(8))).write.partitionBy(*keys).mode("overwrite").parquet(target)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", was)
-    touched = out.select(*keys).distinct()
-    got = spark.read.parquet(target).join(touched, list(keys), "left_semi").count()
-    if got != want:
-        raise ValueError(f"sealed {got} rows of {want}")
-    return got
-
-
 def read_reference(spark: SparkSession, path: str, schema: StructType, versions: list[int]) -> DataFrame:
     """A reference table of a pinned schema; another schema or an unknown version refuses."""
     have = {f.name: f.dataType for f in spark.read.parquet(path).schema}

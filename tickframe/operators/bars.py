@@ -91,9 +91,10 @@ def total_return(bars: DataFrame, splits: DataFrame, dividends: DataFrame, key:
     without a prior close, or not below it, is refused: it has no factor, and its bars say so in `refused`.
     """
     priced = prior_close(dividends, bars, key)
-    s = splits.select(F.col(key).alias("_k"), F.col("ex_date").alias("_x"), F.col("split_ratio").alias("_r"))
-    between = (F.col(key) == F.col("_k")) & (F.col("_x") > F.col("priced_on")) & (F.col("_x") <= F.col("ex_date"))
-    carry = priced.select(key, "ex_date", "priced_on").distinct().join(s, between).groupBy(key, "ex_date").agg(F.product("_r").alias("_carry"))
+    asked = priced.select(key, "ex_date", "priced_on").distinct()
+    days = asked.where("priced_on < ex_date").select(F.col(key).alias("_k"), "ex_date", F.explode(F.sequence(F.date_add("priced_on", 1), "ex_date")).alias("_x"))  # days from one close to the next event: an equality instead of a range
+    of_day = splits.groupBy(F.col(key).alias("_k"), F.col("ex_date").alias("_x")).agg(F.product("split_ratio").alias("_r"))
+    carry = days.join(of_day, ["_k", "_x"]).groupBy(F.col("_k").alias(key), "ex_date").agg(F.product("_r").alias("_carry"))
     priced = priced.join(carry, [key, "ex_date"], "left").withColumn("_c", F.col("prior_close") / F.coalesce("_carry", F.lit(1.0)))
     ok = F.coalesce(F.col("cash_amount") < F.col("_c"), F.lit(False))
     paid = priced.select(key, "ex_date", F.when(ok, 1 - F.col("cash_amount") / F.col("_c")).otherwise(1.0).alias("_f"), F.when(ok, 0).otherwise(1).alias("_bad"))

@@ -10,7 +10,7 @@ from tickframe.operators import lake as K
 from tickframe.operators import views as V
 from tickframe.plans.registry import query
 from tickframe.plans.running import scratch
-from tickframe.sources import calendar, sealed, versions
+from tickframe.sources import calendar, sealed, two_pass, versions
 from tickframe.sources.adapters import Tables, text
 
 
@@ -78,6 +78,33 @@ def sealed_and_late(t: Tables):
     return now.unionByName(store.quarantined().select("event_id", "ticker", "date", F.lit("quarantined").alias("state")))
 
 
+@query(
+    "two_pass_closes",
+    """WITH c AS (SELECT s.*, CASE WHEN s.slot = c.close_at THEN 'spot_close' END AS close_tag FROM slots s JOIN calendar c ON c.day = s.day), ok AS (SELECT ticker, day FROM c GROUP BY 1, 2 HAVING count(DISTINCT CASE WHEN close_tag = 'spot_close' THEN slot END) = 1)
+       SELECT c.event_id, c.ticker, c.day, c.value FROM c JOIN ok USING (ticker, day) WHERE close_tag = 'spot_close'""",
+    dates="day",
+)
+def two_pass_closes(t: Tables):
+    """The slots laid out by instant; the closes of record by the row groups that hold them."""
+    path = scratch(t.spark)
+    rows = t.slots().join(t.calendar().select("day", "close_at"), "day").select("event_id", "slot", "value", F.when(F.col("slot") == F.col("close_at"), "spot_close").alias("close_tag"), "ticker", "day")
+    two_pass.write_sorted(rows, path, "slot")
+    return two_pass.closes_of_record(two_pass.read(t.spark, path, rows.schema), "spot_close", "slot")[0].select("event_id", "ticker", "day", "value")
+
+
+@query(
+    "two_pass_cycles",
+    """WITH n AS (SELECT ticker, day, max(snap_ts) AS at_ts FROM slots WHERE hour(snap_ts) * 60 + minute(snap_ts) <= 870 GROUP BY 1, 2)
+       SELECT s.event_id, s.ticker, s.day, s.value FROM slots s JOIN n ON n.ticker = s.ticker AND n.day = s.day AND n.at_ts = s.snap_ts""",
+    dates="day",
+)
+def two_pass_cycles(t: Tables):
+    path = scratch(t.spark)
+    rows = t.slots().select("event_id", "snap_ts", "value", "ticker", "day")
+    two_pass.write_sorted(rows, path)
+    return two_pass.cycles_before(two_pass.read(t.spark, path, rows.schema), 870).select("event_id", "ticker", "day", "value")
+
+
 @query("ledger_scan", "SELECT event_id, event_type AS ticker, value FROM events e WHERE event_id < coalesce((SELECT min(event_id) FROM events b WHERE b.event_type = e.event_type AND b.event_id % 500 = 7), event_id + 1)")
 def ledger_scan(t: Tables):
     """A ledger for each ticker; a line in five hundred is broken, and what stands behind the first is not read."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators import quantiles
+
 
 def inventory(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Path, bytes and day of every file under a root (A21); contents are never read, for only these columns are asked for."""
@@ -68,15 +70,23 @@ def percentiles(x: Column, keep: Column | None = None) -> Column:
     return F.percentile(x if keep is None else F.when(keep, x), F.array(F.lit(0.5), F.lit(0.99)))
 
 
-def latency(rows: DataFrame, calendar: DataFrame, keys: list[str], last_minutes: int = 60) -> DataFrame:
-    """Dispatch and round trip in milliseconds: over all cycles, at the open, in the last minutes; and what has no end."""
+def latency(rows: DataFrame, calendar: DataFrame, keys: list[str], last_minutes: int = 60, few: int = 1_000_000) -> DataFrame:
+    """Dispatch and round trip in milliseconds: over all cycles, at the open, in the last minutes; and what has no end (D10). A group of more than
+    ``few`` rows is not sorted in one task."""
     j = rows.join(calendar.select("day", "open_at", "close_at"), "day")
     ms = lambda a, b: F.timestamp_diff("MILLISECOND", F.col(a), F.col(b))
     dispatch, trip = ms("snap_ts", "fetch_ts"), ms("fetch_ts", "fetch_end_ts")
     opening = F.col("snap_ts") < F.col("open_at") + F.expr("interval 1 hour")
     closing = (F.col("snap_ts") >= F.col("close_at") - F.make_dt_interval(mins=F.lit(last_minutes))) & (F.col("snap_ts") <= F.col("close_at"))
-    named = {"dispatch": percentiles(dispatch), "trip": percentiles(trip), "open_trip": percentiles(trip, opening), "close_trip": percentiles(trip, closing)}
-    g = j.groupBy(*keys).agg(*(v.alias(k) for k, v in named.items()), F.count_if(F.col("fetch_end_ts").isNull()).alias("skipped"))
+    named = {"dispatch": (dispatch, None), "trip": (trip, None), "open_trip": (trip, opening), "close_trip": (trip, closing)}
+    skipped = F.count_if(F.col("fetch_end_ts").isNull()).alias("skipped")
+    if quantiles.any_large(j, keys, few):
+        each = F.array(*(F.struct(F.lit(k).alias("_name"), (x if keep is None else F.when(keep, x)).alias("_ms")) for k, (x, keep) in named.items()))
+        q = quantiles.exact(j.select(*keys, F.explode(each).alias("_x")).select(*keys, "_x.*"), [*keys, "_name"], "_ms", [0.5, 0.99], few)
+        q = q.groupBy(*keys).agg(*(F.max(F.when(F.col("_name") == k, F.col("q"))).alias(k) for k in named))
+        g = j.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(skipped).join(q, [F.col(f"_{k}").eqNullSafe(F.col(k)) for k in keys])
+    else:
+        g = j.groupBy(*keys).agg(*(percentiles(x, keep).alias(k) for k, (x, keep) in named.items()), skipped)
     return g.select(*keys, *(c for k in named for c in (F.get(k, F.lit(0)).alias(f"{k}_p50"), F.get(k, F.lit(1)).alias(f"{k}_p99"))), "skipped")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators import scans
 from tickframe.operators.bars import cents, next_event, number
 from tickframe.operators.snapshots import spans_of_sessions
 
@@ -238,8 +239,7 @@ def pairings(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame
 
 def symbol_starts(rows: DataFrame, key: str = "ssid") -> DataFrame:
     """First session on which each key carried each spell of a symbol."""
-    w = Window.partitionBy(key).orderBy("day")
-    r = rows.withColumn("_c", F.coalesce((F.col("symbol") != F.lag("symbol").over(w)).cast("int"), F.lit(0))).withColumn("_i", F.sum("_c").over(w))
+    r = scans.changes(rows, [key], "day", "symbol", "_i")
     return r.groupBy(key, "_i", "symbol").agg(F.min("day").alias("valid_from"), F.max("day").alias("last_seen")).drop("_i")
 
 

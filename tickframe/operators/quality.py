@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators import quantiles
+
 
 def quote_order(rows: DataFrame, keys: list[str], limit: float = 0.05) -> DataFrame:
     """Share of rows that aren't bid <= mark <= ask, nulls included, and its verdict."""
@@ -14,13 +16,14 @@ def quote_order(rows: DataFrame, keys: list[str], limit: float = 0.05) -> DataFr
     return g.withColumn("verdict", F.when(rate > limit, "quarantined").otherwise("clean"))
 
 
-def entitlement(rows: DataFrame, keys: list[str], stale_seconds: int = 60) -> DataFrame:
+def entitlement(rows: DataFrame, keys: list[str], stale_seconds: int = 60, few: int = 1_000_000) -> DataFrame:
     """Flag violations over all rows, the exact median staleness over session rows, and the verdict ladder."""
-    g = rows.groupBy(*keys).agg(
-        F.count_if(F.coalesce("is_delayed", F.lit(True))).alias("violations"),
-        F.count_if(F.col("in_session")).alias("session_rows"),
-        F.median(F.when(F.col("in_session"), F.col("staleness"))).alias("median_staleness"),
-    )
+    counts = F.count_if(F.coalesce("is_delayed", F.lit(True))).alias("violations"), F.count_if(F.col("in_session")).alias("session_rows")
+    if quantiles.any_large(rows, keys, few):
+        q = quantiles.exact(rows.select(*(F.col(k).alias(f"_{k}") for k in keys), F.when(F.col("in_session"), F.col("staleness")).alias("_s")), [f"_{k}" for k in keys], "_s", [0.5], few)
+        g = rows.groupBy(*keys).agg(*counts).join(q, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).select(*keys, "violations", "session_rows", F.get("q", F.lit(0)).alias("median_staleness"))
+    else:
+        g = rows.groupBy(*keys).agg(*counts, F.median(F.when(F.col("in_session"), F.col("staleness"))).alias("median_staleness"))
     verdict = F.when(F.col("violations") > 0, "quarantined").when(F.col("session_rows") == 0, "out_of_scope").when(F.col("median_staleness").isNull() | (F.abs("median_staleness") > stale_seconds), "quarantined").otherwise("clean")
     reason = F.when(F.col("violations") > 0, "delayed").when(F.col("session_rows") == 0, "no_session_rows").when(F.col("median_staleness").isNull(), "no_median").when(F.abs("median_staleness") > stale_seconds, "stale")
     return g.withColumn("verdict", verdict).withColumn("reason", reason)

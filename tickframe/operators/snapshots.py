@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators import scans
+
 
 def instant(stamp: Column) -> Column:
     """An ISO stamp with an offset as an instant; anything else, offset-less stamps too, is null (K6)."""
@@ -208,12 +210,9 @@ def window_edge(calendar: DataFrame, day: str, sessions: int) -> DataFrame:
 
 def failures(rows: DataFrame, key: list[str], order: str = "snap_ts", threshold: int = 3) -> DataFrame:
     """Rows with the number of consecutive failures up to them, and whether this one reaches the threshold."""
-    w = Window.partitionBy(*key).orderBy(order)
-    ok = (F.col("row_kind") == "data").cast("int")
-    island = rows.withColumn("_ok", F.coalesce(ok, F.lit(0))).withColumn("_i", F.sum("_ok").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    run = Window.partitionBy(*key, "_i").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    n = F.sum(1 - F.col("_ok")).over(run)
-    return island.withColumn("failures", n).withColumn("pages", F.col("failures") == threshold).drop("_ok", "_i")
+    good = F.col("row_kind") == "data"
+    bad = F.when(good, 0).otherwise(1)
+    return scans.since_reset(rows, key, order, bad, good, "failures").withColumn("pages", F.col("failures") == threshold)
 
 
 def coverage(spans: DataFrame, calendar: DataFrame, present: DataFrame, on_purpose: DataFrame | None = None) -> DataFrame:

@@ -57,6 +57,15 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_long_chains_take_few_rounds(spark):
+    n = 1000
+    rng = random.Random(2)
+    for ids in (list(range(n)), rng.sample(range(10 * n), n)):
+        got = components(spark.createDataFrame(list(zip(ids[:-1], ids[1:])), "a long, b long"))
+        assert {(r.node, r.component) for r in got.collect()} == {(i, min(ids)) for i in ids}
+        assert got.rounds < (15 if ids[0] < ids[1] and ids == sorted(ids) else 40)
+
+
 def test_op5_edges(spark):
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.similar(frame(spark)).collect()]
     want = brute.components(unique())

@@ -1,17 +1,21 @@
 """op9: every counted expression takes part, by whichever way its value reaches a text."""
 
+import functools
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickframe.llm import toxicity
 from tickframe.llm.toxicity import ORDER
 
 
-def numpy_ratios(rows, texts, d=0.75):
-    """gram -> log ratio of {gram: (n0, n1)}, by dictionaries."""
+def by_dictionaries(rows, texts, d=0.75):
+    """gram -> weighed log ratio of {gram: (n0, n1, q0, q1)} in one model, where ``rows`` has grams of all models."""
     tail = lambda g, k: g & ((1 << (8 * k)) - 1)
     suffixes = {k: {tail(g, k) for g in rows} for k in range(1, ORDER + 1)}
     left, follow = {}, {}
@@ -21,6 +25,7 @@ def numpy_ratios(rows, texts, d=0.75):
         for u in suffixes[k]:
             follow.setdefault((k, u >> 8), []).append(u)
 
+    @functools.cache
     def shared(u, k):
         if not k:
             return 1 / 256
@@ -32,29 +37,75 @@ def numpy_ratios(rows, texts, d=0.75):
     for g, n in rows.items():
         by_context.setdefault(g >> 8, []).append(n)
     for g, n in rows.items():
+        q = n[2:]
+        h = 2 * sum(x * math.log(x / (sum(q) * t / sum(texts))) for x, t in zip(q, texts, strict=True) if x)
+        if h <= 6:
+            continue
         p = []
         for c in (0, 1):
             all_n = [x[c] for x in by_context[g >> 8]]
             back = d * sum(x > 0 for x in all_n) / sum(all_n) if sum(all_n) else 1.0
             p.append(max(n[c] - d, 0) / max(sum(all_n), 1) + back * shared(tail(g, ORDER - 1), ORDER - 1))
-        r = np.log(p[1] / p[0])
-        score = 2 * sum(x * np.log(x / (sum(n) * t / sum(texts))) for x, t in zip(n, texts, strict=True) if x)
-        if score > 40 and abs(r) > np.log(4):
-            out[g] = r
+        r = math.log(p[1] / p[0])
+        if abs(r) > math.log(2) and (r > 0) == (q[1] * texts[0] > q[0] * texts[1]):
+            out[g] = r * (1 - 6 / h)
     return out
 
 
-def test_ratios_by_dictionaries(spark):
-    rng = random.Random(1)
-    rows = {}
-    for _ in range(600):
-        g = int.from_bytes(bytes(rng.choice(b"abc ") for _ in range(ORDER)), "big")
-        rows[g] = (rng.choice((0, 1, 9, 90)), rng.choice((0, 2, 40)))
-    rows = {g: n for g, n in rows.items() if sum(n)}
-    counts = spark.createDataFrame([(g, *n) for g, n in rows.items()] + [(0, 300, 60)], "gram long, n0 long, n1 long")
-    got = {r.gram: r.ratio for r in toxicity.log_ratios(counts, (300, 60)).collect()}
-    want = numpy_ratios(rows, (300, 60))
-    assert len(want) > 20 and got == pytest.approx(want, rel=1e-5)
+def six_grams(text):
+    """Each byte and the five before it, back to the space in front of the word that holds or ends before it."""
+    plain, out, before = b" " * ORDER, [], ORDER - 1
+    for c in text.encode():
+        x = chr(c)
+        plain += b"0" if x in "0123456789" else x.lower().encode() if c < 128 and x.isalpha() else b" " if c < 128 else bytes([c])
+    for i in range(ORDER, len(plain)):
+        out.append(int.from_bytes(plain[max(before, i - ORDER + 1) : i + 1].rjust(ORDER), "big"))
+        if plain[i] == 32:
+            before = i
+    return out
+
+
+def test_the_whole_score_by_brute_force(spark):
+    """Every row of a whole table: models of all training rows and of all but one fold, evidence, and the fitted curve."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    marks = {r.doc_id: r.toxic for r in labels.where("toxic is not null").collect()}
+    fold = {i: zlib.crc32(str(i).encode()) % 4 for i in texts}
+    train = [i for i in marks if i in texts and fold[i] != 2]
+    grams = {i: six_grams(t) for i, t in texts.items()}
+    every = {g: [0, 0, 0, 0] for i in train for g in grams[i]}
+
+    def model(rows):
+        n = {g: list(x) for g, x in every.items()}
+        for i in rows:
+            for g, k in Counter(grams[i]).items():
+                n[g][marks[i]] += k
+                n[g][2 + marks[i]] += 1
+        return by_dictionaries(n, [sum(marks[i] == c for i in rows) for c in (0, 1)])
+
+    evidence = lambda i, m: sum(m.get(g, 0) for g in grams[i]) / max(len(texts[i].encode()), 1)
+    whole, without = model(train), {f: model([i for i in train if fold[i] != f]) for f in (0, 1, 3)}
+    got = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    assert len(whole) > 20 and len(got) == len(texts)
+    assert [got[i].evidence for i in texts] == pytest.approx([evidence(i, whole) for i in texts], abs=1e-6)
+    x = np.array([evidence(i, without[fold[i]]) for i in train])
+    y, w, spread = np.array([marks[i] for i in train]), np.zeros(2), x.std()
+    a = np.stack([np.ones(len(x)), x / spread], 1)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-a @ w))
+        w += np.linalg.solve((a.T * (p * (1 - p))) @ a + np.diag([0, 0.05]), a.T @ (y - p) - np.array([0, 0.05]) * w)
+    want = [1 / (1 + math.exp(-(w[0] + w[1] * evidence(i, whole) / spread))) for i in texts]
+    assert [got[i].score for i in texts] == pytest.approx(want, abs=0.01)
+
+
+def test_a_small_table_finds_toxic_rows(spark):
+    """The level at which a fixed bound on counts found nothing; labelled rows that are counted, so no held-out row is looked at."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{x}.parquet") for x in ("documents", "labels"))
+    got = toxicity.score(docs, labels).where("not held_out").join(labels, "doc_id").groupBy("toxic").agg(F.sum("predicted").alias("n"), F.count(F.lit(1)).alias("all"))
+    n = {r.toxic: (r.n, r["all"]) for r in got.collect()}
+    assert n[1][0] >= 0.6 * n[1][1] and n[0][0] <= 0.02 * n[0][1]
 
 
 def test_an_expression_of_few_texts_counts_in_a_large_table(spark):

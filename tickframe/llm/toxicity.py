@@ -2,14 +2,16 @@
 
 Two models of the bytes of words, each byte after the five before it in the word, one of toxic and one of ordinary
 labelled texts, are counted over all training rows, every occurrence. A class's own discounted counts back off to counts
-shared by both classes. An expression whose counts in the two classes don't differ significantly (G above ``least_g``)
-and by a factor of ``least_ratio`` has the shared probability in both models, so rare expressions favour neither class;
-its terms cancel in the difference of the two log-likelihoods, and only the others are ever looked up.
-A text's evidence is that difference divided by its length; a logistic curve, fitted to training rows that the models
-have not counted, turns it into a score.
+shared by both classes, so rare expressions favour neither class.
+An expression's log ratio is weighed by its own uncertainty: by ``1 - doubt / h``, where h is the G statistic of the
+*texts* of both classes that hold it (texts are independent of each other, occurrences in one are not), and by nothing
+where h is smaller, where the texts and the occurrences point to different classes, or where the two probabilities differ
+by less than a factor of ``least_ratio``. So the weight comes in gradually as evidence does, in small tables as in large.
+A text's evidence is the sum of the weighed differences divided by its length. A logistic curve turns it into a score.
+It is cross-fitted: each of the three training folds gets its evidence from models of the other two; the models that score
+count all three. The backoff does not see classes and is shared by all of them.
 
-The backoff is formed from all counted expressions before any is left to it. What the gate is worth on held-out rows, and
-that sums without it serve worse, is in the README with figures.
+How the two settings were chosen without the held-out rows is in the README, with figures.
 
 Every counted expression takes part: counts, contexts and log ratios stay in stored tables. Of the expressions that
 differ, the most frequent, at most ``front`` of them, are broadcast; the others meet the texts in a join. ``front``
@@ -27,13 +29,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import U64, Bytes, chunks, dropped, full_text, ready, stored
 
 ORDER = 6
 SLOTS = 67_108_859  # a prime, so that numpy and Spark find the same slot by a remainder
+PARTS = (0, 1, 3)  # the folds that are counted
+ALL = len(PARTS)  # the model of all of them; model k leaves out PARTS[k]
+GROUPS = [f"{kind}{c}_{k}" for kind in "nq" for k in range(ALL) for c in (0, 1)]  # occurrences and texts of a class in a part
 
 
 def _plain() -> np.ndarray:
@@ -62,40 +67,42 @@ def grams(b: Bytes) -> tuple[np.ndarray, np.ndarray]:
     return key, doc
 
 
-def _counts(rows: DataFrame, most: int = 1 << 20) -> DataFrame:
-    """(toxic int, text) -> 6-gram, occurrences in ordinary and toxic texts, gram 0 for all of them; summed within a task as far as memory allows."""
+def _counts(rows: DataFrame, most: int = 1 << 19) -> DataFrame:
+    """(part int, toxic int, text) -> 6-gram, its occurrences and the texts that hold it by part and class, gram 0 for all bytes and texts; summed within a task as far as memory allows."""
+    wide = len(GROUPS) // 2
 
     def batch_of(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         key = np.concatenate([k for k, _ in parts])
         order = np.argsort(key, kind="stable")
         key, n = key[order], np.concatenate([c for _, c in parts])[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        key, n = key[first], np.add.reduceat(n, first)
-        for i in range(0, len(key), 1 << 16):
-            cut = slice(i, i + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(key[cut].astype(np.int64)), pa.array(n[cut, 0]), pa.array(n[cut, 1])], ["gram", "n0", "n1"])
+        key, n = key[first], np.add.reduceat(n, first, dtype=np.int64)
+        for i in range(0, len(key), 1 << 15):
+            cut = slice(i, i + (1 << 15))
+            yield pa.RecordBatch.from_arrays([pa.array(key[cut].astype(np.int64)), *(pa.array(n[cut, j]) for j in range(2 * wide))], ["gram", *GROUPS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            toxic = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
-            for lo, hi, b in chunks(batch.column(1)):
+            part, toxic = (np.asarray(batch.column(j).to_numpy(zero_copy_only=False), np.int64) for j in (0, 1))
+            for lo, hi, b in chunks(batch.column(2)):
+                group = (2 * part + toxic)[lo:hi]
                 key, doc = grams(b)
-                if not len(key):
-                    continue
-                key, at, n = np.unique(key, return_inverse=True, return_counts=True)
-                n1 = np.bincount(at, toxic[lo:hi][doc], len(key)).astype(np.int64)
-                key, n, n1 = np.append(key, U64(0)), np.append(n, n.sum()), np.append(n1, n1.sum())
-                parts.append((key, np.stack([n - n1, n1], 1)))
-                size += len(key)
+                key, at = np.unique(key, return_inverse=True)
+                held = np.unique(at * (hi - lo) + doc)
+                n = np.bincount(at * wide + group[doc], minlength=len(key) * wide).reshape(-1, wide)
+                q = np.bincount(held // (hi - lo) * wide + group[held % (hi - lo)], minlength=len(key) * wide).reshape(-1, wide)
+                whole = np.concatenate([np.bincount(group[doc], minlength=wide), np.bincount(group, minlength=wide)])
+                parts.append((np.append(key, U64(0)), np.vstack([np.hstack([n, q]), whole]).astype(np.int32)))
+                size += len(key) + 1
                 if size > most:
                     yield from batch_of(parts)
                     parts, size = [], 0
         if parts:
             yield from batch_of(parts)
 
-    got = rows.mapInArrow(run, "gram long, n0 long, n1 long")
-    return got.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    got = rows.select("part", "toxic", "text").mapInArrow(run, ", ".join(["gram long", *(f"{g} long" for g in GROUPS)]))
+    return got.groupBy("gram").agg(*(F.sum(g).alias(g) for g in GROUPS))
 
 
 def _tail(k: int) -> Column:
@@ -125,21 +132,34 @@ def _shared(grams: DataFrame, discount: float) -> tuple[DataFrame, list[DataFram
     return low, levels[1:]
 
 
-def log_ratios(counts: DataFrame, totals: tuple[float, float], discount: float = 0.75, least_g: float = 40.0, least_ratio: float = 4.0) -> DataFrame:
-    """Expressions whose class counts differ significantly, the occurrences in both classes, and log P(byte | context, toxic) - log P(byte | context, ordinary)."""
-    n = [F.col("n0").cast("double"), F.col("n1").cast("double")]
-    g = sum(F.when(c > 0, c * F.log(c / ((n[0] + n[1]) * (t / sum(totals))))).otherwise(0.0) for c, t in zip(n, totals, strict=True))
-    own = []
-    for j, c in enumerate(n):
-        total, followers = F.greatest(F.sum(c).over(_context()), F.lit(1.0)), F.sum((c > 0).cast("int")).over(_context())
-        own += [(F.greatest(c - discount, F.lit(0.0)) / total).alias(f"own{j}"), F.when(followers > 0, discount * followers / total).otherwise(1.0).alias(f"back{j}")]
+def _of(kind: str, c: int, model: int) -> Column:
+    """Counts of a class in the parts that a model is made of."""
+    return sum((F.col(f"{kind}{c}_{k}") for k in range(ALL) if k != model), F.lit(0)).cast("double")
+
+
+def log_ratios(counts: DataFrame, totals: Row, discount: float = 0.75, doubt: float = 6.0, least_ratio: float = 2.0) -> DataFrame:
+    """Expressions that say something of the class in any of the models, all their occurrences, and for each model the weighed log P(byte | context, toxic) - log P(byte | context, ordinary)."""
+    own, found = [], []
+    for m in range(ALL + 1):
+        for c in (0, 1):
+            n = _of("n", c, m)
+            total, followers = F.greatest(F.sum(n).over(_context()), F.lit(1.0)), F.sum((n > 0).cast("int")).over(_context())
+            own += [(F.greatest(n - discount, F.lit(0.0)) / total).alias(f"own{c}_{m}"), F.when(followers > 0, discount * followers / total).otherwise(1.0).alias(f"back{c}_{m}")]
+        texts = [float(sum(totals[f"q{c}_{k}"] for k in range(ALL) if k != m)) for c in (0, 1)]
+        q = [_of("q", c, m) for c in (0, 1)]
+        g = 2 * sum(F.when(x > 0, x * F.log(x / ((q[0] + q[1]) * (t / sum(texts))))).otherwise(0.0) for x, t in zip(q, texts, strict=True)) if all(texts) else F.lit(0.0)
+        found += [g.alias(f"h_{m}"), (q[1] * texts[0] > q[0] * texts[1]).alias(f"up_{m}")]
     grams = counts.where("gram <> 0")
-    shared, read = _shared(grams, discount)
-    differ = grams.select("gram", (F.col("n0") + F.col("n1")).alias("n"), (2 * g).alias("g"), *own).where(F.col("g") > least_g)
+    shared, read = _shared(grams.select("gram"), discount)
+    seen = sum((F.col(f"n{c}_{k}") for c in (0, 1) for k in range(ALL)), F.lit(0)).alias("n")
+    differ = grams.select("gram", seen, *found, *own).where(F.greatest(*(F.col(f"h_{m}") for m in range(ALL + 1))) > doubt)
     both = differ.join(shared.select(F.col("gram").alias("suffix"), "shared").hint("merge"), _tail(ORDER - 1) == F.col("suffix"))
-    p = [F.col(f"own{j}") + F.col(f"back{j}") * F.col("shared") for j in (0, 1)]
-    out = both.select("gram", "n", F.log(p[1] / p[0]).alias("ratio")).where(F.abs("ratio") > float(np.log(least_ratio)))
-    out = stored(out.withColumn("ratio", F.col("ratio").cast("float")), "ratios")
+    ratios = []
+    for m in range(ALL + 1):
+        p = [F.col(f"own{c}_{m}") + F.col(f"back{c}_{m}") * F.col("shared") for c in (0, 1)]
+        r, h = F.log(p[1] / p[0]), F.col(f"h_{m}")
+        ratios.append(F.when((h > doubt) & (F.abs(r) > float(np.log(least_ratio))) & ((r > 0) == F.col(f"up_{m}")), r * (1 - doubt / h)).otherwise(0.0).cast("float"))
+    out = stored(both.select("gram", "n", F.array(*ratios).alias("ratio")).where(F.exists("ratio", lambda x: x != 0)), "ratios")
     dropped(*read)
     return out
 
@@ -150,7 +170,7 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         bits = max(10, int(max(len(keys), 1)).bit_length() + 1)
         self.shift = U64(64 - bits)
-        self.keys, self.values = np.full(1 << bits, ~U64(0)), np.zeros(1 << bits, np.float32)
+        self.keys, self.values = np.full(1 << bits, ~U64(0)), np.zeros(1 << bits, values.dtype)
         rest = np.arange(len(keys))
         for salt in (0, 1):
             place = self._place(keys[rest], salt)
@@ -168,10 +188,10 @@ class Lookup:
     def get(self, keys: np.ndarray) -> np.ndarray:
         """Values, 0 for unknown keys."""
         place = self._place(keys, 0)
-        out = np.where(self.keys[place] == keys, self.values[place], np.float32(0))
+        out = np.where(self.keys[place] == keys, self.values[place], self.values.dtype.type(0))
         miss = np.flatnonzero(self.keys[place] != keys)
         place = self._place(keys[miss], 1)
-        out[miss] = np.where(self.keys[place] == keys[miss], self.values[place], np.float32(0))
+        out[miss] = np.where(self.keys[place] == keys[miss], self.values[place], self.values.dtype.type(0))
         if len(self.more_keys):
             i = np.minimum(np.searchsorted(self.more_keys, keys[miss]), len(self.more_keys) - 1)
             found = self.more_keys[i] == keys[miss]
@@ -180,12 +200,17 @@ class Lookup:
 
 
 def fold_of(doc_id: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 4; 2 is held out, 3 fits the curve, 0 and 1 are counted. Null ids have none."""
+    """crc32 of the id as text, modulo 4; 2 is held out, the others are counted. Null ids have none."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
+def _part() -> Column:
+    """The place of a row's fold in PARTS, null for held-out rows and null ids."""
+    return F.coalesce(*(F.when(fold_of() == f, k) for k, f in enumerate(PARTS)))
+
+
 class Model(NamedTuple):
-    """Log ratios by key: the front in arrays; the rest, if any, as a table, with a bit for each slot that one of its keys is in."""
+    """Weighed log ratios by key, one for each model: the front in arrays; the rest, if any, as a table, with a bit for each slot that one of its keys is in."""
 
     keys: np.ndarray
     values: np.ndarray
@@ -205,56 +230,79 @@ def _split(ratios: DataFrame, front: int) -> Model:
         cut = s
     near = ratios.limit(0) if cut is None else ratios.where(step >= cut)
     got = near.select("gram", "ratio").toArrow()
-    keys, values = got["gram"].to_numpy().astype(U64), got["ratio"].to_numpy().astype(np.float32)
+    keys, values = got["gram"].to_numpy().astype(U64), got["ratio"].combine_chunks().flatten().to_numpy().astype(np.float32).reshape(-1, ALL + 1)
     order = np.argsort(keys)
     keys, values = keys[order], values[order]
     if size <= front:
         return Model(keys, values)
     rest = stored((ratios if cut is None else ratios.where(step < cut)).select("gram", "ratio"), "rest")
-    slot = F.col("gram") % SLOTS
-    words = rest.select(F.floor(slot / 64).alias("word"), F.expr(f"shiftleft(1L, cast(gram % {SLOTS} % 64 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # a million rows at most
+    return Model(keys, values, rest, _slots(rest, F.col("gram")))
+
+
+def _slots(rows: DataFrame, key: Column) -> np.ndarray:
+    """A bit for each slot that a key (not negative) is in, 8 MB for any number of keys."""
+    words = rows.select((key % SLOTS).alias("slot")).select(F.floor(F.col("slot") / 64).alias("word"), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # a million rows at most
     slots = np.zeros(SLOTS // 64 + 1, U64)
-    slots[words["word"].to_numpy()] = words["bits"].to_numpy().view(U64)
-    return Model(keys, values, rest, slots)
+    slots[got["word"].to_numpy()] = got["bits"].to_numpy().view(U64)
+    return slots
 
 
-def fit(docs: DataFrame, labels: DataFrame, front: int = 1 << 20) -> Model:
-    """The log ratios of the two models, counted over every labelled row of folds 0 and 1."""
+def _in(slots: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (slots[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
+
+
+def _labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(doc_id, part, text) of training rows, without most of those that have no label: so only texts with a label travel to meet theirs."""
     ready(docs.sparkSession)
-    rows = docs.where(fold_of().isin(0, 1)).join(labels.hint("merge"), "doc_id").select("toxic", "text")  # labels grow with documents: the same plan at every size
+    key = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")
+    sent = docs.sparkSession.sparkContext.broadcast(_slots(marks, key))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["doc_id", "part", "text"]).filter(pa.array(_in(sent.value, batch.column(0).to_numpy().astype(U64))))
+
+    rows = docs.select(key, "doc_id", _part().alias("part"), "text").where("part is not null")
+    return rows.mapInArrow(run, "doc_id long, part int, text string")
+
+
+def fit(docs: DataFrame, labels: DataFrame, front: int = 1 << 20) -> Model:
+    """The weighed log ratios of the models, counted over every labelled row (labels: doc_id once, toxic) outside fold 2."""
+    rows = _labelled(docs, labels).join(labels.hint("merge"), "doc_id")  # labels grow with documents: the same plan at every size
     counts = stored(_counts(rows), "grams")
-    totals = counts.where("gram = 0").select("n0", "n1").first()
-    if not totals or not totals[0] or not totals[1]:
+    totals = counts.where("gram = 0").first()
+    if not totals or not all(sum(totals[f"q{c}_{k}"] for k in range(ALL)) for c in (0, 1)):
         dropped(counts)
-        return Model(np.zeros(0, U64), np.zeros(0, np.float32))
-    ratios = log_ratios(counts, tuple(totals))
+        return Model(np.zeros(0, U64), np.zeros((0, ALL + 1), np.float32))
+    ratios = log_ratios(counts, totals)
     model = _split(ratios, front)
     dropped(counts, ratios)
     return model
 
 
 def _joined(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """Per digest of a text: what the expressions outside the front add to its evidence. Slots rule most others out before they travel."""
+    """Per digest of a text and model: what the expressions outside the front add to its evidence. Slots rule most others out before they travel."""
     sent = docs.sparkSession.sparkContext.broadcast((model.keys, model.slots))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, slots = sent.value
         for batch in batches:
-            for lo, hi, b in chunks(batch.column(1)):
+            for lo, hi, b in chunks(batch.column(2)):
                 key, doc = grams(b)
-                slot = key % U64(SLOTS)
-                maybe = np.flatnonzero((slots[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1))
+                maybe = np.flatnonzero(_in(slots, key % U64(SLOTS)))
                 if len(keys):
                     i = np.minimum(np.searchsorted(keys, key[maybe]), len(keys) - 1)
                     maybe = maybe[keys[i] != key[maybe]]
                 once, n = np.unique((key[maybe] << U64(16)) | doc[maybe].astype(U64), return_counts=True)
                 at = (once & U64(0xFFFF)).astype(np.int64)
                 share = n / np.maximum(np.diff(b.offsets), 1)[at]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(at)), pa.array((once >> U64(16)).astype(np.int64)), pa.array(share)], ["_digest", "gram", "share"])
+                of = [batch.column(j).slice(lo, hi - lo).take(pa.array(at)) for j in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*of, pa.array((once >> U64(16)).astype(np.int64)), pa.array(share)], ["_digest", "_model", "gram", "share"])
 
-    pieces = docs.select(_digest(text).alias("_digest"), full_text(text).alias("_whole")).mapInArrow(run, "_digest binary, gram long, share double")
-    pieces = stored(pieces.groupBy("_digest", "gram").agg(F.max("share").alias("share")), "pieces")  # equal texts have equal shares
-    out = stored(pieces.join(model.rest.hint("merge"), "gram").groupBy("_digest").agg(F.sum(F.col("share") * F.col("ratio")).alias("_more")), "more")
+    pieces = docs.select(_digest(text).alias("_digest"), "_model", full_text(text).alias("_whole")).mapInArrow(run, "_digest binary, _model int, gram long, share double")
+    pieces = stored(pieces.groupBy("_digest", "_model", "gram").agg(F.max("share").alias("share")), "pieces")  # equal texts have equal shares
+    value = F.col("share") * F.get("ratio", F.col("_model"))
+    out = stored(pieces.join(model.rest.hint("merge"), "gram").groupBy("_digest", "_model").agg(F.sum(value).alias("_more")), "more")
     dropped(pieces)
     return out
 
@@ -263,33 +311,36 @@ def _digest(text: str) -> Column:
     return F.unhex(F.md5(full_text(text).cast("binary")))
 
 
-def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns to keep, and the length-normalised difference of the two log-likelihoods, for every row."""
+def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text", part: str | None = None) -> DataFrame:
+    """The columns to keep, and the length-normalised difference of the two log-likelihoods, for every row; if ``part`` is named, by the model without the row's part."""
     spark = ready(docs.sparkSession)
     sent = spark.sparkContext.broadcast((model.keys, model.values))
     named = [*keep, "_digest"] if model.rest is not None else keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Lookup(*sent.value)
+        keys, values = sent.value
+        table, values = Lookup(keys, np.arange(1, len(keys) + 1, dtype=np.int32)), np.vstack([np.zeros((1, ALL + 1), np.float32), values])
         for batch in batches:
-            for lo, hi, b in chunks(batch.column(len(named))):
+            which = batch.column(len(named)).to_numpy()
+            for lo, hi, b in chunks(batch.column(len(named) + 1)):
                 key, doc = grams(b)
-                z = np.bincount(doc, table.get(key), hi - lo) / np.maximum(np.diff(b.offsets), 1)
+                z = np.bincount(doc, values[table.get(key), which[lo:hi][doc]], hi - lo) / np.maximum(np.diff(b.offsets), 1)
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(named)], pa.array(z)], [*named, "evidence"])
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(named) + 1], pa.array(z)], [*named, "_model", "evidence"])
 
-    rows = docs if model.rest is None else docs.withColumn("_digest", _digest(text))
-    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in named), "evidence double"])
-    out = rows.select(*named, full_text(text).alias("_whole")).mapInArrow(run, schema)
+    rows = docs.withColumn("_model", (F.col(part) if part else F.lit(ALL)).cast("int"))
+    rows = rows if model.rest is None else rows.withColumn("_digest", _digest(text))
+    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in named), "_model int, evidence double"])
+    out = rows.select(*named, "_model", full_text(text).alias("_whole")).mapInArrow(run, schema)
     if model.rest is None:
-        return out
-    more = _joined(docs, model, text)
-    return out.join(more.hint("merge"), "_digest", "left").select(*keep, (F.col("evidence") + F.coalesce("_more", F.lit(0.0))).alias("evidence"))
+        return out.drop("_model")
+    more = _joined(rows, model, text)
+    return out.join(more.hint("merge"), ["_digest", "_model"], "left").select(*keep, (F.col("evidence") + F.coalesce("_more", F.lit(0.0))).alias("evidence"))
 
 
 def curve(seen: DataFrame) -> tuple[float, float] | None:
-    """Logistic curve through (evidence, toxic) by Newton's method, from counts in at most 4,001 bins for each class."""
-    bins = seen.groupBy(F.round(F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col("evidence"))), 3).alias("z"), "toxic").count().toPandas()
+    """Logistic curve through (evidence, toxic) by Newton's method, from counts in at most 40,001 bins for each class."""
+    bins = seen.groupBy(F.round(F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col("evidence"))), 4).alias("z"), "toxic").count().toPandas()
     if bins.toxic.nunique() < 2:
         return None
     n, y = bins["count"].to_numpy(float), bins.toxic.to_numpy(float)
@@ -311,13 +362,9 @@ def scored(docs: DataFrame, labels: DataFrame, keep: list[str], doc_id: str = "d
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     model = fit(rows, marks, front)
 
-    def line_of(folds: list[int]) -> tuple[float, float] | None:
-        seen = stored(evidence(rows.where(fold_of().isin(folds)), model, ["doc_id"]), "evidence")
-        out = curve(seen.join(marks.hint("merge"), "doc_id"))
-        dropped(seen)
-        return out
-
-    line = line_of([3]) or line_of([0, 1, 3])
+    seen = stored(evidence(_labelled(rows, marks), model, ["doc_id"], part="part"), "evidence")
+    line = curve(seen.join(marks.hint("merge"), "doc_id"))
+    dropped(seen)
     value = 1 / (1 + F.exp(-(F.lit(line[0]) + line[1] * F.col("evidence")))) if line else F.lit(0.0)
     return evidence(docs, model, keep, text).withColumn("score", value)
 

@@ -139,11 +139,11 @@ def _of(kind: str, c: int, model: int) -> Column:
 
 def log_ratios(counts: DataFrame, totals: Row, discount: float = 0.75, doubt: float = 6.0, least_ratio: float = 2.0) -> DataFrame:
     """Expressions that say something of the class in any of the models, all their occurrences, and for each model the weighed log P(byte | context, toxic) - log P(byte | context, ordinary)."""
-    own, found = [], []
+    sums, own, found = [], [], []
     for m in range(ALL + 1):
         for c in (0, 1):
-            n = _of("n", c, m)
-            total, followers = F.greatest(F.sum(n).over(_context()), F.lit(1.0)), F.sum((n > 0).cast("int")).over(_context())
+            n, total, followers = _of("n", c, m), F.greatest(F.col(f"total{c}_{m}"), F.lit(1.0)), F.col(f"followers{c}_{m}")
+            sums += [F.sum(n).alias(f"total{c}_{m}"), F.sum((n > 0).cast("int")).alias(f"followers{c}_{m}")]
             own += [(F.greatest(n - discount, F.lit(0.0)) / total).alias(f"own{c}_{m}"), F.when(followers > 0, discount * followers / total).otherwise(1.0).alias(f"back{c}_{m}")]
         texts = [float(sum(totals[f"q{c}_{k}"] for k in range(ALL) if k != m)) for c in (0, 1)]
         q = [_of("q", c, m) for c in (0, 1)]
@@ -152,7 +152,9 @@ def log_ratios(counts: DataFrame, totals: Row, discount: float = 0.75, doubt: fl
     grams = counts.where("gram <> 0")
     shared, read = _shared(grams.select("gram"), discount)
     seen = sum((F.col(f"n{c}_{k}") for c in (0, 1) for k in range(ALL)), F.lit(0)).alias("n")
-    differ = grams.select("gram", seen, *found, *own).where(F.greatest(*(F.col(f"h_{m}") for m in range(ALL + 1))) > doubt)
+    some = grams.select("*", *found).where(F.greatest(*(F.col(f"h_{m}") for m in range(ALL + 1))) > doubt).withColumn("context", F.shiftright("gram", 8))
+    contexts = grams.groupBy(F.shiftright("gram", 8).alias("context")).agg(*sums)
+    differ = some.join(contexts.hint("merge"), "context").select("gram", seen, *(f"{x}_{m}" for x in ("h", "up") for m in range(ALL + 1)), *own)
     both = differ.join(shared.select(F.col("gram").alias("suffix"), "shared").hint("merge"), _tail(ORDER - 1) == F.col("suffix"))
     ratios = []
     for m in range(ALL + 1):

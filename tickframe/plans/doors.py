@@ -144,9 +144,19 @@ def upload_lags(t: Tables):
     return K.upload_lag(e)
 
 
-@query("retuned_plan")
+@query(
+    "retuned_plan",
+    """SELECT * FROM (WITH RECURSIVE c AS (SELECT ticker, CAST(day(day) // 8 * 8 AS INT) AS lo, count(*) AS n FROM slots WHERE row_kind = 'data' GROUP BY 1, 2),
+       p AS (SELECT ticker, lo, CAST(lo + 3 AS INT) AS hi, (n + 1) // 2 AS n FROM c WHERE n > 400 UNION ALL SELECT ticker, CAST(lo + 4 AS INT), CAST(lo + 7 AS INT), n // 2 FROM c WHERE n > 400
+       UNION ALL SELECT ticker, lo, CAST(lo + 7 AS INT), n FROM c WHERE n <= 400),
+       o AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY lo) AS i FROM p),
+       f AS (SELECT ticker, i, 0 AS "at", lo, hi, n FROM o WHERE i = 1
+       UNION ALL SELECT o.ticker, o.i, CASE WHEN f.n < 150 AND f.n + o.n <= 400 THEN f."at" ELSE f."at" + 1 END, CASE WHEN f.n < 150 AND f.n + o.n <= 400 THEN f.lo ELSE o.lo END, o.hi, CASE WHEN f.n < 150 AND f.n + o.n <= 400 THEN f.n + o.n ELSE o.n END
+       FROM f JOIN o ON o.ticker = f.ticker AND o.i = f.i + 1)
+       SELECT ticker, "at", arg_max(lo, i) AS lo, arg_max(hi, i) AS hi, arg_max(n, i) AS n FROM f GROUP BY 1, 2)""",
+)
 def retuned_plan(t: Tables):
-    """Fetch windows of eight days by their rows; a fold, so it is held against plain Python in the tests."""
+    """Fetch windows of eight days by their rows; the fold is a recursion in SQL."""
     lo = (F.floor(F.day("day") / 8) * 8).cast("int")
     counts = t.slots().where("row_kind = 'data'").groupBy("ticker", lo.alias("lo")).agg(F.count(F.lit(1)).alias("n"))
     return K.retune(counts.select("ticker", "lo", (F.col("lo") + 7).alias("hi"), "n"), ["ticker"], most=400, least=150)

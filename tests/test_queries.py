@@ -42,3 +42,19 @@ def test_matches_sql(spark, duck, name):
 def test_every_query_has_columns(spark):
     for f in registry.QUERIES.values():
         assert f(spark, SF).columns
+
+
+def in_duck(folder, tables, name):
+    """The SQL of a query over tables of a folder."""
+    c = duckdb.connect()
+    c.sql("SET TimeZone = 'UTC'")
+    for t in tables:
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    return c.sql(registry.ORACLES[name]).df()
+
+
+def test_a_known_account_is_masked_wherever_it_stands(spark, tmp_path):
+    pd.DataFrame({"s_suppkey": [1, 777, 2], "s_name": ["Supplier#000000001", "Supplier#000000777", "Supplier#007777770"]}).to_parquet(f"{tmp_path}/supplier.parquet")
+    got = registry.QUERIES["masked_resources"](spark, str(tmp_path)).toPandas()
+    assert sorted(got.resource.str[-9:]) == ["******770", "***000***", "***000001"]
+    assert rows(got) == rows(in_duck(tmp_path, ["supplier"], "masked_resources"))

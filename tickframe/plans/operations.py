@@ -136,7 +136,7 @@ def restore_rotation(t: Tables):
     return K.rotation(pairs, 17).select("p_partkey", "slot")
 
 
-@query("masked_resources", "SELECT s_suppkey, 'arn:aws:s3:r:************:b/***' || right(s_name, 6) AS resource FROM supplier")
+@query("masked_resources", "SELECT s_suppkey, 'arn:aws:s3:r:************:b/***' || replace(right(s_name, 6), '777', '***') AS resource FROM supplier")
 def masked_resources(t: Tables):
     arn = F.concat(F.lit("arn:aws:s3:r:"), F.lpad(F.col("s_suppkey").cast("string"), 12, "0"), F.lit(":b/777"), F.right("s_name", F.lit(6)))
     return t.table("supplier").select("s_suppkey", K.masked(arn, ["777"]).alias("resource"))

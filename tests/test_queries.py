@@ -58,3 +58,19 @@ def test_a_known_account_is_masked_wherever_it_stands(spark, tmp_path):
     got = registry.QUERIES["masked_resources"](spark, str(tmp_path)).toPandas()
     assert sorted(got.resource.str[-9:]) == ["******770", "***000***", "***000001"]
     assert rows(got) == rows(in_duck(tmp_path, ["supplier"], "masked_resources"))
+
+
+@pytest.fixture
+def shared_instants(tmp_path):
+    """Events of which many have the same type and instant, with odd and even ids, not in the order of their ids."""
+    n = 600
+    ids = [i * 7 % n for i in range(n)]
+    at = pd.Timestamp("2024-01-03") + pd.to_timedelta([i // 40 for i in ids], unit="min")
+    pd.DataFrame({"event_id": ids, "ts": at.astype("datetime64[us]"), "user_id": ids, "event_type": [("view", "click")[i % 3 % 2] for i in ids], "value": [i / 8 for i in ids], "props": ["{}"] * n}).to_parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["chain_payloads"])
+def test_events_that_share_an_instant(spark, shared_instants, name):
+    got = registry.QUERIES[name](spark, shared_instants).toPandas()
+    assert rows(got) == rows(in_duck(shared_instants, ["events"], name))

@@ -78,7 +78,7 @@ def bodies(t: Tables, *parts) -> DataFrame:
 
 @query(
     "chain_payloads",
-    """SELECT event_type AS ticker, x.put_call, DATE '2024-02-01' AS expiration, 10.0::DOUBLE AS strike, x.s || event_id AS symbol, CASE WHEN x.s = 'c' THEN event_id / 4.0::DOUBLE END AS bid, 2::BIGINT AS number_of_contracts, event_id % 2 = 0 AS is_chain_truncated,
+    """SELECT event_type AS ticker, x.put_call, DATE '2024-02-01' AS expiration, 10.0::DOUBLE AS strike, x.s || event_id AS symbol, CASE WHEN x.s = 'c' THEN event_id / 4.0::DOUBLE END AS bid, count(*) OVER (PARTITION BY event_type, ts) AS number_of_contracts, event_id % 2 = 0 AS is_chain_truncated,
        CASE WHEN x.s = 'c' THEN '{"odd":"1","zed":"2"}' END AS extra FROM events, (VALUES ('CALL', 'c'), ('PUT', 'p')) AS x(put_call, s)""",
     dates="expiration",
 )

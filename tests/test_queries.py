@@ -70,7 +70,7 @@ def shared_instants(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["chain_payloads"])
+@pytest.mark.parametrize("name", ["chain_payloads", "instant_order"])
 def test_events_that_share_an_instant(spark, shared_instants, name):
     got = registry.QUERIES[name](spark, shared_instants).toPandas()
     assert rows(got) == rows(in_duck(shared_instants, ["events"], name))

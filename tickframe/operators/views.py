@@ -18,12 +18,15 @@ from tickframe.operators import market as M
 from tickframe.operators import snapshots as S
 
 
-def in_order(rows: DataFrame, stamp: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with their place by instant within a key (S1), and the rows whose stamp can't be read."""
+def in_order(rows: DataFrame, stamp: str, keys: list[str], ties: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with their place by instant within a key (S1), and the rows whose stamp can't be read.
+
+    Rows of one instant stand by ties, which must tell them apart; without any, by the text of their stamp.
+    """
     from pyspark.sql import Window
 
     at = rows.withColumn("_at", S.instant(F.col(stamp)))
-    good = at.where("_at is not null").withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("_at", stamp)))
+    good = at.where("_at is not null").withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("_at", *(ties or [F.col(stamp)]))))
     return good.drop("_at"), at.where("_at is null").drop("_at")
 
 

@@ -85,3 +85,39 @@ def test_evidence_of_large_groups_is_that_of_small_ones(spark):
         small, large = f(1000), f(20)
         assert small.columns == large.columns
         assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+
+
+def test_symbols_by_sweeps(spark):
+    """Random histories with gaps, repeats, overlaps, empty and open entries against plain loops, and no more rows than days for a hot symbol."""
+    rng, base = random.Random(5), dt.date(2024, 1, 1)
+    day = lambda i: base + dt.timedelta(days=i)
+    master = [(rng.choice([1, 2, 3, -7, 2**62]), rng.choice("xyz"), rng.choice([None, *map(day, range(30))]), rng.choice([None, *map(day, range(30))])) for _ in range(60)]
+    master += [(None, "x", day(0), None), (9, None, day(0), None)]
+    rows = [(i, rng.choice(["x", "y", "z", "unknown", None]), rng.choice([None, *map(day, range(-2, 33))])) for i in range(400)]
+    bore = lambda s, d: {i for i, v, a, b in master if None not in (i, v, a, s, d) and v == s and a <= d and (b is None or d < b)}
+    out, many = market.resolve(spark.createDataFrame(rows, "id long, symbol string, day date"), spark.createDataFrame(master, "instrument_id long, id_value string, valid_from date, valid_to date"), "symbol", "day")
+    assert {r.id: r.instrument_id for r in out.collect()} == {i: min(b) if len(b := bore(s, d)) == 1 else None for i, s, d in rows}
+    assert {(r.symbol, r.day): r.instruments for r in many.collect()} == {(s, d): len(bore(s, d)) for _, s, d in rows if len(bore(s, d)) > 1}
+    n, days = 20_000, 200  # four million pairs of a day and an entry, were they made
+    hot = spark.range(n).select(F.col("id").alias("instrument_id"), F.lit("x").alias("id_value"), F.lit(base).alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    _, many = market.resolve(spark.range(days).select(F.lit("x").alias("symbol"), F.date_add(F.lit(base), F.col("id").cast("int")).alias("day")), hot, "symbol", "day")
+    assert most_rows(spark, lambda: [r.instruments for r in many.collect()] == [n] * days) < 10 * n
+
+
+def most_rows(spark, run):
+    """The most rows that an operator of run()'s plans gave; run() must hold."""
+    tracker = spark._jsparkSession.sharedState().statusStore()
+    seen = tracker.executionsCount()
+    assert run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    done = tracker.executionsList()
+    most = 0
+    for k in range(seen, done.size()):
+        ids = {m.accumulatorId() for m in _each(done.apply(k).metrics()) if m.name() == "number of output rows"}
+        values = tracker.executionMetrics(done.apply(k).executionId())
+        most = max([most, *(int(values.apply(i).replace(",", "")) for i in ids if values.contains(i))])
+    return most
+
+
+def _each(seq):
+    return (seq.apply(i) for i in range(seq.size()))

@@ -27,14 +27,28 @@ def occ_expiry(symbol: Column) -> Column:
 def resolve(rows: DataFrame, master: DataFrame, symbol: str, day: str) -> tuple[DataFrame, DataFrame]:
     """Rows with the instrument that bore their symbol on their day, null if none did; and the ambiguous ones.
 
-    Distinct (symbol, day) meet the history on the symbol, so the interval test runs on a symbol's few entries.
+    A symbol's history is laid out by days: an entry adds its instrument where it begins and takes it away where it ends, so a running count
+    says how many bear the symbol and, where it is one, the running exclusive-or of their ids says which. Distinct (symbol, day) stand in the
+    same order, so no row is made for a pair of a day and an entry, and a symbol never has more rows than there are days.
     """
-    m = master.select("instrument_id", F.col("id_value").alias("_v"), "valid_from", "valid_to")
-    asked = rows.select(F.col(symbol).alias("_s"), F.col(day).alias("_d")).distinct()
-    valid = (F.col("_s") == F.col("_v")) & (F.col("_d") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_d") < F.col("valid_to")))
-    found = asked.join(m, valid).groupBy("_s", "_d").agg(F.min("instrument_id").alias("instrument_id"), F.countDistinct("instrument_id").alias("instruments"))
-    out = rows.join(found, (F.col(symbol) == F.col("_s")) & (F.col(day) == F.col("_d")), "left").drop("_s", "_d")
-    return out.withColumn("instrument_id", F.when(F.col("instruments") == 1, F.col("instrument_id"))).drop("instruments"), found.where("instruments > 1").select(F.col("_s").alias(symbol), F.col("_d").alias(day), "instruments")
+    move = lambda at, n: F.struct(F.col(at).alias("_d"), F.lit(n).alias("_n"), F.col("instrument_id").cast("long").alias("_i"))
+    moves = _spells(master).select("_s", F.explode(F.array(move("_from", 1), move("_to", -1))).alias("_m")).select("_s", "_m.*", F.lit(False).alias("_asked")).where("_d is not null")
+    asked = rows.select(F.col(symbol).alias("_s"), F.col(day).alias("_d"), F.lit(0).alias("_n"), F.lit(0).cast("long").alias("_i"), F.lit(True).alias("_asked")).where("_s is not null and _d is not null")
+    days = asked.unionByName(moves).groupBy("_s", "_d").agg(F.sum("_n").alias("_n"), F.bit_xor("_i").alias("_i"), F.bool_or("_asked").alias("_asked"))
+    so_far = Window.partitionBy("_s").orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+    held = days.select("_s", "_d", "_asked", F.sum("_n").over(so_far).alias("instruments"), F.bit_xor("_i").over(so_far).alias("instrument_id")).where("_asked and instruments > 0")
+    one = held.where("instruments = 1").select("_s", "_d", "instrument_id")
+    out = rows.join(one, (F.col(symbol) == F.col("_s")) & (F.col(day) == F.col("_d")), "left").drop("_s", "_d")
+    return out, held.where("instruments > 1").select(F.col("_s").alias(symbol), F.col("_d").alias(day), "instruments")
+
+
+def _spells(master: DataFrame) -> DataFrame:
+    """(_s, instrument_id, _from, _to): an instrument's entries for one symbol, those that overlap or touch as one; _to is null if open."""
+    m = master.select("instrument_id", F.col("id_value").alias("_s"), "valid_from", "valid_to").where("instrument_id is not null and _s is not null and valid_from is not null and (valid_to is null or valid_from < valid_to)")
+    before = Window.partitionBy("_s", "instrument_id").orderBy("valid_from", "valid_to").rowsBetween(Window.unboundedPreceding, -1)
+    begins = ~F.coalesce(F.bool_or(F.col("valid_to").isNull()).over(before), F.lit(False)) & F.coalesce(F.max("valid_to").over(before) < F.col("valid_from"), F.lit(True))
+    m = m.withColumn("_new", begins.cast("int")).withColumn("_k", F.sum("_new").over(Window.partitionBy("_s", "instrument_id").orderBy("valid_from", "valid_to").rowsBetween(Window.unboundedPreceding, 0)))
+    return m.groupBy("_s", "instrument_id", "_k").agg(F.min("valid_from").alias("_from"), F.when(~F.bool_or(F.col("valid_to").isNull()), F.max("valid_to")).alias("_to")).drop("_k")
 
 
 def symbol_at(rows: DataFrame, master: DataFrame, day: str) -> DataFrame:

@@ -74,6 +74,15 @@ def test_a_hot_group_is_spread(spark):
     assert r.n == n and r.q == [float(Fraction(n - 1, 2)), pytest.approx(0.99 * (n - 1), abs=1e-6)]
 
 
+def test_many_rows_of_few_values_are_counted_not_searched(spark, monkeypatch):
+    n = 100_000
+    rows = spark.range(n).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % 500 - 3).alias("v"))
+    monkeypatch.setattr(quantiles, "_large", lambda *_: pytest.fail("rounds over all rows"))
+    (r,) = quantiles.exact(rows, ["k"], "v", [0.5, 0.99], few=5000).collect()
+    values = [i * 7919 % 500 - 3 for i in range(n)]
+    assert r.n == n and r.q == [quantile(values, p) for p in (0.5, 0.99)]
+
+
 def test_evidence_of_large_groups_is_that_of_small_ones(spark):
     from tickframe.operators import lake, quality
 

@@ -7,7 +7,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tickframe.plans import registry
+from tickframe.plans import registry, running, streams
+from tickframe.streaming import live
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -70,7 +71,22 @@ def shared_instants(tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["chain_payloads", "instant_order"])
+@pytest.mark.parametrize("name", ["chain_payloads", "instant_order", "live_watchdog", "live_drift_pages"])
 def test_events_that_share_an_instant(spark, shared_instants, name):
     got = registry.QUERIES[name](spark, shared_instants).toPandas()
     assert rows(got) == rows(in_duck(shared_instants, ["events"], name))
+
+
+def test_no_step_of_a_stream_sees_more_than_a_lot(spark, shared_instants, monkeypatch):
+    seen = []
+    lots = lambda rows, operator, order: running.run_in_lots(rows, lambda x: seen.append(1) or operator(x), order, 100)
+    monkeypatch.setattr(streams, "run_in_lots", lots)
+    for name in ("live_watchdog", "live_drift_pages"):
+        seen.clear()
+        got = registry.QUERIES[name](spark, shared_instants).toPandas()
+        assert len(seen) == 6 and rows(got) == rows(in_duck(shared_instants, ["events"], name))
+
+
+def test_lots_of_nothing(spark):
+    none = spark.createDataFrame([], "ticker string, snap_ts timestamp, row_kind string")
+    assert running.run_in_lots(none, live.watchdog, ["snap_ts"]).count() == 0

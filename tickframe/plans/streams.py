@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickframe.operators import payload as P
 from tickframe.plans.registry import query
-from tickframe.plans.running import event_stream, run_once, scratch
+from tickframe.plans.running import event_rows, event_stream, run_in_lots, run_once, scratch
 from tickframe.sources.adapters import Tables, text
 from tickframe.streaming import live as V
 
@@ -24,7 +24,9 @@ def live_slots(t: Tables):
        SELECT ticker, strftime(snap_ts, '%Y-%m-%d %H:%M:%S') AS at, CASE WHEN ok = 0 THEN 'failing' ELSE 'recovered' END AS event, CAST(CASE WHEN ok = 0 THEN n ELSE before END AS BIGINT) AS failures FROM b WHERE n = 2 AND ok = 0 OR ok = 1 AND before >= 2""",
 )
 def live_watchdog(t: Tables):
-    pages = run_once(V.watchdog(event_stream(t), threshold=2), "append")
+    order = ["snap_ts", "event_id"]
+    rows = event_rows(t.table("events")).select("ticker", *order, "row_kind")
+    pages = run_in_lots(rows, lambda x: V.watchdog(x, threshold=2, order=tuple(order)), order)
     return pages.select("ticker", text("at").alias("at"), "event", F.col("failures").cast("long").alias("failures"))
 
 
@@ -35,8 +37,9 @@ def live_watchdog(t: Tables):
        SELECT ticker, strftime(snap_ts, '%Y-%m-%d %H:%M:%S') AS at FROM h WHERE x AND NOT coalesce(was, false) AND held = 1""",
 )
 def live_drift_pages(t: Tables):
-    rows = event_stream(t).select(F.lit("chains").alias("surface"), F.lit("bid").alias("column"), "ticker", "snap_ts", F.when(F.col("row_kind") == "data", F.col("event_id") % 5 == 0).alias("drifts"))
-    return run_once(V.drift_pages(rows), "append").select("ticker", text("at").alias("at"))
+    order = ["snap_ts", "event_id"]
+    rows = event_rows(t.table("events")).select(F.lit("chains").alias("surface"), F.lit("bid").alias("column"), "ticker", *order, F.when(F.col("row_kind") == "data", F.col("event_id") % 5 == 0).alias("drifts"))
+    return run_in_lots(rows, lambda x: V.drift_pages(x, tuple(order)), order).select("ticker", text("at").alias("at"))
 
 
 @query("dead_man", "SELECT ticker AS key, max(epoch(snap_ts)) - max(epoch(snap_ts)) FILTER (WHERE row_kind = 'data' AND event_id % 50 = 0) > 36000 AS starved FROM slots GROUP BY 1")

@@ -19,15 +19,16 @@ def live_slots(rows: DataFrame, keys: list[str], minutes: int = 1, grace: str =
     return g.select(F.col("window.start").alias("slot"), *keys, "data_rows", "gap_rows", "suspect")
 
 
-def watchdog(rows: DataFrame, key: str = "ticker", threshold: int = 3) -> DataFrame:
+def watchdog(rows: DataFrame, key: str = "ticker", threshold: int = 3, order: tuple[str, ...] = ("snap_ts",)) -> DataFrame:
     """One page when a key has failed so often in a row, one when it recovers (ST2). rows: key, snap_ts, row_kind.
 
-    The counter is the state; a batch's rows of a key are put in order of their instants first.
+    The counter is the state; a batch's rows of a key are put in order first, by their instants and what else ``order`` names. A key's rows of one
+    batch are held in memory, so the source bounds a batch.
     """
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         (held,) = state.get if state.exists else (0,)
-        f = pd.concat(list(frames)).sort_values("snap_ts", kind="stable")
+        f = pd.concat(list(frames)).sort_values(list(order), kind="stable")
         good = (f.row_kind == "data").to_numpy()
         block = good.cumsum()  # failures after each good row; those before the first go on from the state
         n = pd.Series(~good).groupby(block).cumsum().to_numpy() + (block == 0) * held
@@ -40,15 +41,15 @@ def watchdog(rows: DataFrame, key: str = "ticker", threshold: int = 3) -> DataFr
     return rows.groupBy(key).applyInPandasWithState(step, f"{key} string, at timestamp, event string, failures int", "n int", "append", GroupStateTimeout.NoTimeout)
 
 
-def drift_pages(rows: DataFrame) -> DataFrame:
+def drift_pages(rows: DataFrame, order: tuple[str, ...] = ("snap_ts",)) -> DataFrame:
     """A page when a (surface, column) begins to drift; it may page again only after every ticker that drifted has landed clean (ST5, Q8).
 
-    rows: surface, column, ticker, snap_ts, drifts (null: a gap row, which proves nothing).
+    rows: surface, column, ticker, snap_ts, drifts (null: a gap row, which proves nothing). Order and batches are as in ``watchdog``.
     """
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = set(state.get[0]) if state.exists else set()
-        f = pd.concat(list(frames)).dropna(subset=["drifts"]).sort_values("snap_ts", kind="stable")
+        f = pd.concat(list(frames)).dropna(subset=["drifts"]).sort_values(list(order), kind="stable")
         drifts = f.drifts.astype(bool)
         was = drifts.groupby(f.ticker).shift().astype("boolean").fillna(f.ticker.isin(held).astype("boolean")).astype(bool)
         change = (drifts & ~was).astype(int) - (~drifts & was).astype(int)  # a ticker begins or ends to drift

@@ -136,3 +136,17 @@ def test_values_outside_the_front_count_alike(spark, front):
     assert any(r.evidence > 0 for r in one)
     assert [r.evidence for r in one] == pytest.approx([r.evidence for r in two], abs=1e-9)
     assert [r.score for r in one] == pytest.approx([r.score for r in two], abs=1e-6)
+
+
+def test_a_kept_text_travels_once(spark, monkeypatch):
+    """Evidence is the same whether the text is kept or not, null and empty ones too, and what is kept goes to Python with no second copy."""
+    texts = [None, "", *(f"plain words {i % 7}" for i in range(60)), *(f"vile{i % 3} rot words" for i in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.where("doc_id > 1").select("doc_id", F.col("text").startswith("vile").cast("int").alias("toxic"))
+    model = toxicity.fit(docs, labels)
+    sent, given = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **k: sent.append([c for c, t in self.dtypes if t == "string"]) or given(self, *a, **k))
+    kept = {r.doc_id: (r.text, r.evidence) for r in toxicity.evidence(docs, model, ["doc_id", "text"]).collect()}
+    alone = {r.doc_id: r.evidence for r in toxicity.evidence(docs, model, ["doc_id"]).collect()}
+    assert sent == [["text"], ["_whole"]]
+    assert kept == {i: (t, alone[i]) for i, t in enumerate(texts)} and alone[0] == alone[1] == 0 < alone[121]

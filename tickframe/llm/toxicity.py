@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -318,13 +319,14 @@ def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
     spark = ready(docs.sparkSession)
     sent = spark.sparkContext.broadcast((model.keys, model.values))
     named = [*keep, "_digest"] if model.rest is not None else keep
+    at = keep.index(text) if text in keep else len(named) + 1  # a text that is kept travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = sent.value
         table, values = Lookup(keys, np.arange(1, len(keys) + 1, dtype=np.int32)), np.vstack([np.zeros((1, ALL + 1), np.float32), values])
         for batch in batches:
             which = batch.column(len(named)).to_numpy()
-            for lo, hi, b in chunks(batch.column(len(named) + 1)):
+            for lo, hi, b in chunks(pc.fill_null(batch.column(at), "")):
                 key, doc = grams(b)
                 z = np.bincount(doc, values[table.get(key), which[lo:hi][doc]], hi - lo) / np.maximum(np.diff(b.offsets), 1)
                 part = batch.slice(lo, hi - lo)
@@ -333,7 +335,8 @@ def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
     rows = docs.withColumn("_model", (F.col(part) if part else F.lit(ALL)).cast("int"))
     rows = rows if model.rest is None else rows.withColumn("_digest", _digest(text))
     schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in named), "_model int, evidence double"])
-    out = rows.select(*named, "_model", full_text(text).alias("_whole")).mapInArrow(run, schema)
+    whole = [] if text in keep else [full_text(text).alias("_whole")]
+    out = rows.select(*named, "_model", *whole).mapInArrow(run, schema)
     if model.rest is None:
         return out.drop("_model")
     more = _joined(rows, model, text)

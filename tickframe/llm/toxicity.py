@@ -317,20 +317,24 @@ def _digest(text: str) -> Column:
 def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text", part: str | None = None) -> DataFrame:
     """The columns to keep, and the length-normalised difference of the two log-likelihoods, for every row; if ``part`` is named, by the model without the row's part."""
     spark = ready(docs.sparkSession)
-    sent = spark.sparkContext.broadcast((model.keys, model.values))
+    sent = spark.sparkContext.broadcast((model.keys, model.values if part else np.ascontiguousarray(model.values[:, ALL])))
     named = [*keep, "_digest"] if model.rest is not None else keep
     at = keep.index(text) if text in keep else len(named) + 1  # a text that is kept travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = sent.value
-        table, values = Lookup(keys, np.arange(1, len(keys) + 1, dtype=np.int32)), np.vstack([np.zeros((1, ALL + 1), np.float32), values])
+        if part:
+            table, values = Lookup(keys, np.arange(1, len(keys) + 1, dtype=np.int32)), np.vstack([np.zeros((1, ALL + 1), np.float32), values])
+        else:  # one model for all rows: its values themselves
+            table = Lookup(keys, values)
         for batch in batches:
             which = batch.column(len(named)).to_numpy()
-            for lo, hi, b in chunks(pc.fill_null(batch.column(at), "")):
+            for lo, hi, b in chunks(pc.fill_null(batch.column(at), ""), 1 << 18):
                 key, doc = grams(b)
-                z = np.bincount(doc, values[table.get(key), which[lo:hi][doc]], hi - lo) / np.maximum(np.diff(b.offsets), 1)
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(named) + 1], pa.array(z)], [*named, "_model", "evidence"])
+                ratio = values[table.get(key), which[lo:hi][doc]] if part else table.get(key)
+                z = np.bincount(doc, ratio, hi - lo) / np.maximum(np.diff(b.offsets), 1)
+                cut = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*cut.columns[: len(named) + 1], pa.array(z)], [*named, "_model", "evidence"])
 
     rows = docs.withColumn("_model", (F.col(part) if part else F.lit(ALL)).cast("int"))
     rows = rows if model.rest is None else rows.withColumn("_digest", _digest(text))

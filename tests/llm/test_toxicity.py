@@ -150,3 +150,20 @@ def test_a_kept_text_travels_once(spark, monkeypatch):
     alone = {r.doc_id: r.evidence for r in toxicity.evidence(docs, model, ["doc_id"]).collect()}
     assert sent == [["text"], ["_whole"]]
     assert kept == {i: (t, alone[i]) for i, t in enumerate(texts)} and alone[0] == alone[1] == 0 < alone[121]
+
+
+@pytest.mark.parametrize("front", [1 << 20, 0])
+def test_a_task_holds_one_python_worker(spark, monkeypatch, front):
+    """No stage passes rows from one Python worker to another, and rows without a label stay out of the curve all the same."""
+    docs = spark.createDataFrame([(i, f"vile{i % 3} rot words" if i % 2 else f"plain words {i % 7}") for i in range(400)], "doc_id long, text string")
+    labels = docs.where("doc_id < 200").select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    plans, curves, put, fit_curve = [], [], toxicity.stored, toxicity.curve
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or put(df, name))
+    monkeypatch.setattr(toxicity, "curve", lambda seen: curves.append(seen.count()) or fit_curve(seen))
+    out = toxicity.scored(docs, labels, ["doc_id", "text"], front=front)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum("MapInArrow" in p for p in plans) >= 3
+    assert max(stage.count("MapInArrow") for p in plans for stage in p.split("Exchange")) == 1
+    trained = docs.where("doc_id < 200").where(toxicity.fold_of() != 2).count()
+    assert curves == [trained]
+    assert out.count() == 400 and out.where((F.col("score") >= 0.3) != (F.col("doc_id") % 2 == 1)).count() == 0

@@ -255,18 +255,31 @@ def _in(slots: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (slots[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63))) & U64(1) == 1
 
 
+def _key() -> Column:
+    """The slot of a row's id."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+
+
+def _training(docs: DataFrame) -> DataFrame:
+    """(_slot, doc_id, part, text) of training rows, with a label or not."""
+    return docs.select(_key().alias("_slot"), "doc_id", _part().alias("part"), "text").where("part is not null")
+
+
+def _among(batch: pa.RecordBatch, slots: np.ndarray, at: int) -> pa.RecordBatch:
+    """The rows whose slot, in column ``at``, is in."""
+    return batch.filter(pa.array(_in(slots, batch.column(at).to_numpy().astype(U64))))
+
+
 def _labelled(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """(doc_id, part, text) of training rows, without most of those that have no label: so only texts with a label travel to meet theirs."""
     ready(docs.sparkSession)
-    key = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")
-    sent = docs.sparkSession.sparkContext.broadcast(_slots(marks, key))
+    sent = docs.sparkSession.sparkContext.broadcast(_slots(marks, _key()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.select(["doc_id", "part", "text"]).filter(pa.array(_in(sent.value, batch.column(0).to_numpy().astype(U64))))
+            yield _among(batch, sent.value, 0).select(["doc_id", "part", "text"])
 
-    rows = docs.select(key, "doc_id", _part().alias("part"), "text").where("part is not null")
-    return rows.mapInArrow(run, "doc_id long, part int, text string")
+    return _training(docs).mapInArrow(run, "doc_id long, part int, text string")
 
 
 def fit(docs: DataFrame, labels: DataFrame, front: int = 1 << 20) -> Model:
@@ -283,13 +296,14 @@ def fit(docs: DataFrame, labels: DataFrame, front: int = 1 << 20) -> Model:
     return model
 
 
-def _joined(docs: DataFrame, model: Model, text: str) -> DataFrame:
+def _joined(docs: DataFrame, model: Model, text: str, only: np.ndarray | None = None) -> DataFrame:
     """Per digest of a text and model: what the expressions outside the front add to its evidence. Slots rule most others out before they travel."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.keys, model.slots))
+    sent = docs.sparkSession.sparkContext.broadcast((model.keys, model.slots, only))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, slots = sent.value
+        keys, slots, only = sent.value
         for batch in batches:
+            batch = batch if only is None else _among(batch, only, 3)
             for lo, hi, b in chunks(batch.column(2)):
                 key, doc = grams(b)
                 maybe = np.flatnonzero(_in(slots, key % U64(SLOTS)))
@@ -302,7 +316,7 @@ def _joined(docs: DataFrame, model: Model, text: str) -> DataFrame:
                 of = [batch.column(j).slice(lo, hi - lo).take(pa.array(at)) for j in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*of, pa.array((once >> U64(16)).astype(np.int64)), pa.array(share)], ["_digest", "_model", "gram", "share"])
 
-    pieces = docs.select(_digest(text).alias("_digest"), "_model", full_text(text).alias("_whole")).mapInArrow(run, "_digest binary, _model int, gram long, share double")
+    pieces = docs.select(_digest(text).alias("_digest"), "_model", full_text(text).alias("_whole"), *_slot_of(only)).mapInArrow(run, "_digest binary, _model int, gram long, share double")
     pieces = stored(pieces.groupBy("_digest", "_model", "gram").agg(F.max("share").alias("share")), "pieces")  # equal texts have equal shares
     value = F.col("share") * F.get("ratio", F.col("_model"))
     out = stored(pieces.join(model.rest.hint("merge"), "gram").groupBy("_digest", "_model").agg(F.sum(value).alias("_more")), "more")
@@ -314,20 +328,29 @@ def _digest(text: str) -> Column:
     return F.unhex(F.md5(full_text(text).cast("binary")))
 
 
-def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text", part: str | None = None) -> DataFrame:
-    """The columns to keep, and the length-normalised difference of the two log-likelihoods, for every row; if ``part`` is named, by the model without the row's part."""
+def _slot_of(only: np.ndarray | None) -> list[str]:
+    return [] if only is None else ["_slot"]
+
+
+def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text", part: str | None = None, only: np.ndarray | None = None) -> DataFrame:
+    """The columns to keep, and the length-normalised difference of the two log-likelihoods, for every row; if ``part`` is named, by the model without the row's part.
+
+    With ``only``, a bit for each slot, rows whose ``_slot`` is not in are left out. That is done in the same pass: one of
+    its own would take a second Python worker for each task, and Spark keeps as many for all that follows.
+    """
     spark = ready(docs.sparkSession)
-    sent = spark.sparkContext.broadcast((model.keys, model.values if part else np.ascontiguousarray(model.values[:, ALL])))
+    sent = spark.sparkContext.broadcast((model.keys, model.values if part else np.ascontiguousarray(model.values[:, ALL]), only))
     named = [*keep, "_digest"] if model.rest is not None else keep
     at = keep.index(text) if text in keep else len(named) + 1  # a text that is kept travels once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, values = sent.value
+        keys, values, only = sent.value
         if part:
             table, values = Lookup(keys, np.arange(1, len(keys) + 1, dtype=np.int32)), np.vstack([np.zeros((1, ALL + 1), np.float32), values])
         else:  # one model for all rows: its values themselves
             table = Lookup(keys, values)
         for batch in batches:
+            batch = batch if only is None else _among(batch, only, batch.num_columns - 1)
             which = batch.column(len(named)).to_numpy()
             for lo, hi, b in chunks(pc.fill_null(batch.column(at), ""), 1 << 18):
                 key, doc = grams(b)
@@ -340,10 +363,10 @@ def evidence(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
     rows = rows if model.rest is None else rows.withColumn("_digest", _digest(text))
     schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in named), "_model int, evidence double"])
     whole = [] if text in keep else [full_text(text).alias("_whole")]
-    out = rows.select(*named, "_model", *whole).mapInArrow(run, schema)
+    out = rows.select(*named, "_model", *whole, *_slot_of(only)).mapInArrow(run, schema)
     if model.rest is None:
         return out.drop("_model")
-    more = _joined(rows, model, text)
+    more = _joined(rows, model, text, only)
     return out.join(more.hint("merge"), ["_digest", "_model"], "left").select(*keep, (F.col("evidence") + F.coalesce("_more", F.lit(0.0))).alias("evidence"))
 
 
@@ -371,7 +394,7 @@ def scored(docs: DataFrame, labels: DataFrame, keep: list[str], doc_id: str = "d
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     model = fit(rows, marks, front)
 
-    seen = stored(evidence(_labelled(rows, marks), model, ["doc_id"], part="part"), "evidence")
+    seen = stored(evidence(_training(rows), model, ["doc_id"], part="part", only=_slots(marks, _key())), "evidence")
     line = curve(seen.join(marks.hint("merge"), "doc_id"))
     dropped(seen)
     value = 1 / (1 + F.exp(-(F.lit(line[0]) + line[1] * F.col("evidence")))) if line else F.lit(0.0)
